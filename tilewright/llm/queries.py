@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import sharding, url_cascade
+from tilewright.llm import orc_tokens, packing, sharding, url_cascade
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,13 +17,23 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"))
+
+
 def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.filter_urls(_read(spark, sf_dir, "pages"))
 
 
+def op10_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orc_tokens.token_files(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_virtual_slots": op3_virtual_slots,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op9_url_cascade": op9_url_cascade,
+    "op10_orc_tokens": op10_orc_tokens,
 }
 
 ORACLE_SQL: dict[str, str] = {
