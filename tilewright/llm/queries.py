@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import orc_tokens, packing, sharding, url_cascade
+from tilewright.llm import orc_tokens, packing, quality, secrets, sharding, tiling, url_cascade
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated_pairs(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(_read(spark, sf_dir, "documents"))
+
+
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_read(spark, sf_dir, "documents"))
 
@@ -21,6 +29,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op5_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.filter_urls(_read(spark, sf_dir, "pages"))
 
@@ -30,8 +42,11 @@ def op10_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_string_tiling": op1_string_tiling,
+    "op2_blob_ledger": op2_blob_ledger,
     "op3_virtual_slots": op3_virtual_slots,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_ftrl_quality": op5_ftrl_quality,
     "op9_url_cascade": op9_url_cascade,
     "op10_orc_tokens": op10_orc_tokens,
 }
