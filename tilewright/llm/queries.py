@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import orc_tokens, packing, quality, secrets, sharding, tiling, url_cascade
+from tilewright.llm import cap_filters, orc_tokens, packing, quality, secrets, sharding, simhash, tiling, url_cascade
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,6 +33,14 @@ def op5_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op6_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op7_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.filter_urls(_read(spark, sf_dir, "pages"))
 
@@ -47,6 +55,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_virtual_slots": op3_virtual_slots,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_ftrl_quality": op5_ftrl_quality,
+    "op6_simhash_ball": op6_simhash_ball,
+    "op7_cap_filters": op7_cap_filters,
     "op9_url_cascade": op9_url_cascade,
     "op10_orc_tokens": op10_orc_tokens,
 }
