@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import cap_filters, orc_tokens, packing, quality, secrets, sharding, simhash, tiling, url_cascade
+from tilewright.llm import cap_filters, orc_tokens, packing, quality, radix_dedup, secrets, sharding, simhash, tiling, url_cascade
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.near_vectors(_read(spark, sf_dir, "embeddings"))
 
 
+def op8_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix_dedup.remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op9_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_cascade.filter_urls(_read(spark, sf_dir, "pages"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ftrl_quality": op5_ftrl_quality,
     "op6_simhash_ball": op6_simhash_ball,
     "op7_cap_filters": op7_cap_filters,
+    "op8_radix_windows": op8_radix_windows,
     "op9_url_cascade": op9_url_cascade,
     "op10_orc_tokens": op10_orc_tokens,
 }
