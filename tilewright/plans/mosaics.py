@@ -99,7 +99,7 @@ def colour_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.colour_histogram(rows, "c")
 
 
-@_l.add("SELECT vec_id, 16.0 AS red, 32.0 AS green, 16.0 AS blue FROM embeddings")
+@_l.add("SELECT vec_id, 16.0::DOUBLE AS red, 32.0::DOUBLE AS green, 16.0::DOUBLE AS blue FROM embeddings")
 def one_hot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mosaic.colours(mosaic.three_colours(mosaic.pattern_column(((0, 1), (3, 2)))), SIDE, SIDE)
     total = lambda k: F.aggregate(mosaic.one_hot(found, k), F.lit(0.0), lambda s, v: s + v.cast("double"))
