@@ -127,14 +127,14 @@ def path_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_l.add(r"""
-    WITH h AS (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'username' WHEN 1 THEN 'Alain Ahs' WHEN 2 THEN lower(replace(s_name, '#', '-')) WHEN 3 THEN '-x' ELSE 'A' || s_suppkey END AS handle FROM supplier)
+    WITH h AS (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'username' WHEN 1 THEN 'Jane Doe' WHEN 2 THEN lower(replace(s_name, '#', '-')) WHEN 3 THEN '-x' ELSE 'A' || s_suppkey END AS handle FROM supplier)
     SELECT s_suppkey, regexp_full_match(lower(handle), '[a-z0-9][a-z0-9-]{0,30}') AND lower(handle) NOT IN
            ('your-github-name', 'your-name', 'your-handle', 'your-username', 'your-github-username', 'github-username', 'handle', 'name', 'username') AS valid,
            CASE WHEN starts_with('a4_x.npz', lower(handle) || '_') THEN 'a4_x.npz' ELSE lower(handle) || '_a4_x.npz' END AS shard FROM h""")
 def handles(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey") % 5
     handle = (
-        F.when(k == 0, "username").when(k == 1, "Alain Ahs").when(k == 2, F.lower(F.replace("s_name", F.lit("#"), F.lit("-")))).when(k == 3, "-x")
+        F.when(k == 0, "username").when(k == 1, "Jane Doe").when(k == 2, F.lower(F.replace("s_name", F.lit("#"), F.lit("-")))).when(k == 3, "-x")
         .otherwise(F.concat(F.lit("A"), F.col("s_suppkey").cast("string")))
     )
     return table(spark, sf_dir, "supplier").select("s_suppkey", text.valid_handle(handle).alias("valid"), text.prefixed(handle, F.lit("a4_x.npz")).alias("shard"))
