@@ -1,7 +1,7 @@
 """Near-duplicate vectors by spherical-cap filters.
 
-A filter is a direction; a vector passes it if their inner product exceeds a
-threshold. Directions are a structured random product code: after a random
+A filter is a direction; a vector passes it if their inner product exceeds the
+vector's threshold, set so that each passes as many. Directions are a structured random product code: after a random
 rotation the vector is cut in blocks, each block has a random code of its own, and
 every combination of block codewords is a direction. Sorted block products list
 all directions that a vector passes without trying every one. Vectors meet by
@@ -10,6 +10,7 @@ filter, and a pair that meets is verified in double precision.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,18 +26,23 @@ from tilewright.llm.simhash import hang, roots
 #: Members of a bucket that one task compares with each other; larger ones are dealt out by pairs of blocks.
 BLOCK = 2_048
 
+#: Rows for which a cell of buckets is meant: buckets are mostly too small to be a task's call each.
+CELL = 2_048
+
 
 @dataclass(frozen=True)
 class Code:
-    """`words` codewords in each of two blocks; `sigmas` is the threshold in standard deviations of a random product.
-
-    A vector passes some words**2 * Q(sigmas) filters: 22 by these defaults.
-    """
+    """`words` codewords in each of two blocks; a vector passes its `passes` best of their words**2 combinations."""
 
     words: int = 256
-    sigmas: float = 3.4
+    passes: int = 24
     seed: int = 7
 
+    @staticmethod
+    def for_vectors(n: int, passes: int = 24, held: int = 16) -> Code:
+        """A code by which `n` vectors of one label fill buckets of `held` on average: its words grow as the root of `n`."""
+        return Code(words=min(46_000, max(256, math.ceil(math.sqrt(passes * n / held)))), passes=passes)
+
 
 @lru_cache(maxsize=4)
 def _directions(code: Code, dim: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -57,61 +63,93 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
-def decode(vectors: np.ndarray, code: Code) -> list[np.ndarray]:
-    """The numbers of all filters that each unit vector passes, ascending; its best one always."""
-    dim = vectors.shape[1]
-    rotation, (first, second) = _directions(code, dim)
-    turned = vectors @ rotation
-    a, b = turned[:, : first.shape[1]] @ first.T, turned[:, first.shape[1] :] @ second.T
-    least = code.sigmas / np.sqrt(dim) * np.sqrt(2)
-    order = np.argsort(-b, axis=1)
-    out = []
-    for left, right, by in zip(a, b, order, strict=True):
-        rows = np.flatnonzero(left + right[by[0]] >= least)
-        if not len(rows):
-            rows = np.array([left.argmax()])
-        n = np.maximum(1, np.searchsorted(-right[by], left[rows] - least, "right"))
-        column = by[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        out.append(np.sort(np.repeat(rows, n) * code.words + column).astype(np.int32))
-    return out
-
-
-def compare(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, passed: list[np.ndarray], part: np.ndarray, parts: tuple[int, int], number: int, least: float) -> tuple:
-    """Verify the pairs of a bucket (or of two of its blocks) and sum them up per member.
-
-    Returns (ids of linked members, vectors linked directly, counting a pair only
-    in the first filter that both pass, the least member's id that links reach).
+def decode(vectors: np.ndarray, code: Code) -> np.ndarray:
+    """The numbers of the filters that each unit vector passes, ascending, a row per vector.
+
+    Of two sorted lists of block products, the pair of ranks (i, j) can only be
+    among the best n sums if (i + 1) * (j + 1) <= n: few pairs are looked at.
     """
-    k = len(ids)
+    rotation, (first, second) = _directions(code, vectors.shape[1])
+    turned = vectors @ rotation
+    products = turned[:, : first.shape[1]] @ first.T, turned[:, first.shape[1] :] @ second.T
+    best = [np.argsort(-p, axis=1, kind="stable")[:, : code.passes] for p in products]
+    left, right = (np.take_along_axis(p, o, 1) for p, o in zip(products, best, strict=True))
+    i, j = np.nonzero(np.outer(np.arange(1, left.shape[1] + 1), np.arange(1, right.shape[1] + 1)) <= code.passes)
+    kept = np.argsort(-(left[:, i] + right[:, j]), axis=1, kind="stable")[:, : code.passes]
+    numbers = best[0][:, i] * code.words + best[1][:, j]
+    return np.sort(np.take_along_axis(numbers, kept, 1), axis=1).astype(np.int32)
+
+
+def _small_pairs(first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places inside runs that begin at `first` and hold `sizes` places."""
+    left, right = [np.array([], np.int64)], [np.array([], np.int64)]
+    for size in np.unique(sizes):
+        i, j = np.triu_indices(size, 1)
+        own = first[sizes == size][:, None]
+        left.append((own + i).ravel())
+        right.append((own + j).ravel())
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _verified_small(vectors: np.ndarray, passed: np.ndarray, number: np.ndarray, i: np.ndarray, j: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of pairs of rows those that are near, and whether this filter is the first that both pass."""
+    near = np.concatenate([np.flatnonzero(np.einsum("ij,ij->i", vectors[i[k : k + 8192]], vectors[j[k : k + 8192]]) >= least) + k for k in range(0, len(i), 8192)] or [i])
+    i, j = i[near], j[near]
+    new = np.empty(len(i), bool)
+    for k in range(0, len(i), 8192):
+        a, b = passed[i[k : k + 8192]], passed[j[k : k + 8192]]
+        common = (a[:, :, None] == b[:, None, :]).any(axis=2)
+        new[k : k + 8192] = np.where(common, a, np.iinfo(np.int32).max).min(axis=1) == number[i[k : k + 8192]]
+    return i, j, new
+
+
+def _verified_large(vectors: np.ndarray, passed: np.ndarray, part: np.ndarray, parts: tuple[int, int], number: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for all pairs of a bucket, or of two of its blocks, by matrix products in strips."""
     rows, columns = [], []
-    for begin in range(0, k, 512):
-        close = vectors[begin : begin + 512] @ vectors.T >= least
-        i, j = np.nonzero(close)
+    for begin in range(0, len(vectors), 512):
+        i, j = np.nonzero(vectors[begin : begin + 512] @ vectors.T >= least)
         i += begin
         ok = (i < j) if parts[0] == parts[1] else (part[i] == parts[0]) & (part[j] == parts[1])
         rows.append(i[ok])
         columns.append(j[ok])
     i, j = np.concatenate(rows), np.concatenate(columns)
-    if not len(i):
-        return ids[:0], copies[:0], ids[:0]
-    linked = np.unique(np.concatenate([i, j]))
-    place = np.full(k, -1)
-    place[linked] = np.arange(len(linked))
-    i, j = place[i], place[j]
-    before = [passed[m][passed[m] < number] for m in linked]
-    _, shared = np.unique(np.concatenate(before), return_inverse=True)
-    seen = np.zeros((len(linked), int(shared.max()) + 1 if len(shared) else 1), np.float32)
-    seen[np.repeat(np.arange(len(linked)), [len(x) for x in before]), shared] = 1
+    earlier = np.where(passed < number, passed, -1)
+    names, at = np.unique(earlier, return_inverse=True)
+    seen = np.zeros((len(vectors), len(names)), np.float32)
+    np.put_along_axis(seen, at.reshape(earlier.shape), 1, axis=1)
+    seen[:, names == -1] = 0
     new = np.empty(len(i), bool)
-    for begin in range(0, len(i), 1 << 14):
-        a, b = i[begin : begin + (1 << 14)], j[begin : begin + (1 << 14)]
-        new[begin : begin + (1 << 14)] = np.einsum("ij,ij->i", seen[a], seen[b]) == 0
-    own, n = copies[linked], np.zeros(len(linked), np.int64)
-    np.add.at(n, i[new], own[j[new]])
-    np.add.at(n, j[new], own[i[new]])
-    parent = np.arange(len(linked))
+    for k in range(0, len(i), 1 << 14):
+        new[k : k + (1 << 14)] = np.einsum("ij,ij->i", seen[i[k : k + (1 << 14)]], seen[j[k : k + (1 << 14)]]) == 0
+    return i, j, new
+
+
+def compare(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, passed: np.ndarray, number: np.ndarray, part: np.ndarray, low: np.ndarray, high: np.ndarray, least: float, small: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Verify all pairs that share a bucket (number, low, high) and sum them up per vector.
+
+    Returns (ids of linked vectors, vectors linked directly, counting a pair only
+    in the first filter that both pass, the least id that links reach here).
+    """
+    order = np.lexsort((high, low, number))
+    key = np.stack([number, low, high])[:, order]
+    first = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+    sizes = np.diff(np.append(first, len(order)))
+    few = (sizes > 1) & (sizes <= small) & (key[1, first] == key[2, first])
+    i, j = _small_pairs(first[few], sizes[few])
+    found = [_verified_small(vectors, passed, number, order[i], order[j], least)]
+    for begin, size in zip(first[(sizes > 1) & ~few], sizes[(sizes > 1) & ~few], strict=True):
+        own = order[begin : begin + size]
+        i, j, new = _verified_large(vectors[own], passed[own], part[own], (low[own[0]], high[own[0]]), number[own[0]], least)
+        found.append((own[i], own[j], new))
+    i, j, new = (np.concatenate([f[k] for f in found]) for k in range(3))
+    names, at = np.unique(ids, return_inverse=True)
+    n, parent = np.zeros(len(names), np.int64), np.arange(len(names))
+    i, j, of_i, of_j = at[i], at[j], copies[i], copies[j]
+    np.add.at(n, i[new], of_j[new])
+    np.add.at(n, j[new], of_i[new])
     hang(parent, np.stack([i, j], 1))
-    return ids[linked], n, ids[linked][roots(parent)]
+    linked = np.unique(np.concatenate([i, j]))
+    return names[linked], n[linked], names[roots(parent)[linked]]
 
 
 def usable(vector: str = "embedding") -> Column:
@@ -120,7 +158,7 @@ def usable(vector: str = "embedding") -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def near_vectors(embeddings: DataFrame, least: float = 0.93, code: Code = Code(), block: int = BLOCK) -> DataFrame:
+def near_vectors(embeddings: DataFrame, least: float = 0.93, code: Code | None = None, block: int = BLOCK) -> DataFrame:
     """Link vectors of the same label whose cosine is `least` or more.
 
     embeddings: vec_id, embedding (array of float or double), label. Returns
@@ -137,12 +175,17 @@ def near_vectors(embeddings: DataFrame, least: float = 0.93, code: Code = Code()
     A bucket is a task's only up to `block` members; larger ones are dealt out by
     pairs of blocks. Only sums per member and a tree per bucket leave a task.
     """
-    wide = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), F.col("embedding").cast("array<double>").alias("vector"))
+    single = embeddings.schema["embedding"].dataType.simpleString() == "array<float>"
+    vector = F.col("embedding") if single else F.col("embedding").cast("array<double>")
+    wide = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), vector.alias("vector"))
     able = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & usable("vector")
     keys = [F.xxhash64("label", "vector").alias("key1"), F.xxhash64(F.lit(1), "vector", "label").alias("key2")]
     rows = common.saved(wide.select("vec_id", *keys, able.alias("able")))
     distinct = wide.where(able).groupBy("label", *keys).agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first("vector").alias("vector"))
     distinct = common.saved(distinct.withColumn("id", F.monotonically_increasing_id()))
+    n = distinct.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    code = code or Code.for_vectors(n)
+    cells = n * code.passes // CELL + 1
 
     def pass_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,10 +195,9 @@ def near_vectors(embeddings: DataFrame, least: float = 0.93, code: Code = Code()
             starts = np.cumsum(sizes) - sizes
             for dim in np.unique(sizes):
                 own = np.flatnonzero(sizes == dim)
-                vectors = unit(flat[starts[own][:, None] + np.arange(dim)])
-                passed = decode(vectors, code)
-                n = np.array([len(x) for x in passed])
-                at = np.repeat(np.arange(len(own)), n)
+                vectors = flat[starts[own][:, None] + np.arange(dim)]
+                passed = decode(unit(vectors), code)
+                at = np.repeat(np.arange(len(own)), passed.shape[1])
                 take = pa.array(own[at])
                 raw, filters = [x.tobytes() for x in vectors], [x.tobytes() for x in passed]
                 yield pa.RecordBatch.from_arrays(
@@ -181,15 +223,16 @@ def near_vectors(embeddings: DataFrame, least: float = 0.93, code: Code = Code()
         .withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop(*large.columns)
     )
 
+    dealt = dealt.withColumn("cell", F.pmod(F.xxhash64("filter", "low", "high"), F.lit(cells)))
+
     def link(group: pa.Table) -> pa.Table:
-        vectors = np.frombuffer(b"".join(group["vector"].to_pylist()), np.float64).reshape(group.num_rows, -1)
-        passed = [np.frombuffer(x, np.int32) for x in group["passed"].to_pylist()]
-        ids, copies, parts = (group[c].to_numpy() for c in ("id", "copies", "part"))
-        low, high, number = (group[c][0].as_py() for c in ("low", "high", "filter"))
-        found, n, root = compare(ids, copies, vectors, passed, parts, (low, high), number, least)
+        vectors = unit(np.frombuffer(b"".join(group["vector"].to_pylist()), np.float32 if single else np.float64).reshape(group.num_rows, -1))
+        passed = np.frombuffer(b"".join(group["passed"].to_pylist()), np.int32).reshape(group.num_rows, -1)
+        ids, copies, number, part, low, high = (group[c].to_numpy() for c in ("id", "copies", "filter", "part", "low", "high"))
+        found, n, root = compare(ids, copies, vectors, passed, number, part, low, high, least)
         return pa.table({"id": found, "n": n, "root": root})
 
-    linked = common.saved(dealt.groupBy(*bucket, "low", "high").applyInArrow(link, "id long, n long, root long"))
+    linked = common.saved(dealt.groupBy("label", "dim", "cell").applyInArrow(link, "id long, n long, root long"))
     sums = linked.groupBy("id").agg(F.sum("n").alias("n"))
     found = components.components(linked.select(F.col("id").alias("u"), F.col("root").alias("v")).distinct())
     owner = distinct.select("id", "key1", "key2", "copies", "least").join(sums, "id", "left").join(found, "id", "left")

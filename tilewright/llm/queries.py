@@ -67,6 +67,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_cap_filters": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS n
+            FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL),
+        l AS (
+            SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93),
+        r AS (SELECT u AS id, u AS root FROM l UNION SELECT l.w, r.root FROM r JOIN l ON l.u = r.id),
+        c AS (SELECT id, min(root) AS component FROM r GROUP BY id),
+        k AS (SELECT u, count(*) AS n FROM l GROUP BY u)
+        SELECT vec_id, coalesce(k.n, 0)::BIGINT AS n_links, coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
+        FROM embeddings LEFT JOIN c ON c.id = vec_id LEFT JOIN k ON k.u = vec_id""",
     "op9_url_cascade": r"""
         WITH u AS (
             SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
