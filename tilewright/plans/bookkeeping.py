@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.operators import gates, library, packing, reports, resume
+from tilewright.operators import contribution, gates, library, lookup, packing, reports, resume
 from tilewright.plans.registry import Listing, table
 
 _l = Listing()
@@ -52,8 +52,6 @@ def library_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
           QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY k, e.id) = 1)
     SELECT p_partkey, id, path FROM h UNION ALL SELECT p_partkey, NULL, NULL FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM h)""")
 def library_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tilewright.operators import lookup
-
     name = F.concat(F.col("p_partkey").cast("string"), F.lit(".nef"))
     tries = F.array(F.concat(F.lit("/photos/BUILDING/"), name), F.concat(F.lit("/photos/MACHINERY/"), name), F.lit("/photos/AUTOMOBILE/same.nef"))
     asked = table(spark, sf_dir, "part").select("p_partkey", tries.alias("tries"))
@@ -296,3 +294,19 @@ def registry_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parameter_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = F.array((F.col("n_chars") % 7 + 1).cast("int"), (F.col("doc_id") % 5 + 1).cast("int"))
     return reports.parameter_count(table(spark, sf_dir, "documents").select(shape.alias("shape")))
+
+
+@_l.add("""
+    WITH s AS (SELECT 'jane-doe_' || item_id || '.npz' AS name, sha256(text) AS sha, 'cam ' || item_id % 7 AS camera, length(text) % 17 AS n FROM benchmark)
+    SELECT 'jane-doe' AS handle, count(*)::INTEGER AS n_shards, sum(n)::INTEGER AS n_tiles,
+           (SELECT string_agg(camera || '=' || n, ',' ORDER BY camera) FROM (SELECT camera, sum(n)::BIGINT AS n FROM s GROUP BY camera)) AS cameras,
+           string_agg(name || '=' || sha, ',' ORDER BY name) AS files FROM s""")
+def contribution_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("item_id")
+    shards = table(spark, sf_dir, "benchmark").select(
+        F.concat(key.cast("string"), F.lit(".npz")).alias("name"), F.sha2("text", 256).alias("sha256"),
+        F.concat(F.lit("cam "), (key % 7).cast("string")).alias("camera"), (F.length("text") % 17).alias("n_tiles"),
+    )
+    found = contribution.manifest(shards, "jane-doe", "2025-06-01", "CC0-1.0", "granted")
+    joined = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return found.select("handle", "n_shards", "n_tiles", joined("cameras").alias("cameras"), joined("files").alias("files"))
