@@ -7,12 +7,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an id list up to which `without_ids` and `with_ids` broadcast it: 16 bytes a row, 64 MB.
+#: Rows of an id list up to which `without_ids` broadcasts it: 16 bytes a row, 64 MB.
 BROADCAST_ROWS = 4_000_000
 
-#: Bytes of Arrow data handed to Python at once, so that long texts don't add up.
-ARROW_BYTES = 32 << 20
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor sees; ``spark.checkpoint.dir`` names it.
@@ -25,12 +22,6 @@ def shared_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
-    """Bound what one Arrow batch holds, for the Python operators of this session."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
-
-
 def saved(df: DataFrame) -> DataFrame:
     """Checkpoint `df` to the shared folder and cut its lineage: for narrow tables."""
     shared_dir(df.sparkSession)
@@ -68,9 +59,3 @@ def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFra
     """Rows of `docs` whose `key` isn't in `ids` (null equals null); columns stay."""
     out = bounded(ids.select(F.col(ids.columns[0]).alias("__tw_out")).distinct())
     return docs.join(out, docs[key].eqNullSafe(out["__tw_out"]), "left_anti")
-
-
-def with_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of `docs` whose `key` is in `ids` (null equals null); columns stay."""
-    own = bounded(ids.select(F.col(ids.columns[0]).alias("__tw_in")).distinct())
-    return docs.join(own, docs[key].eqNullSafe(own["__tw_in"]), "left_semi")

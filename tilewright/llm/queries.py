@@ -66,7 +66,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_orc_tokens": op10_orc_tokens,
 }
 
+_ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _spans_sql(kind: str, place: int, pattern: str, group: int, least: int) -> str:
+    """Matches by text between and text of them: leftmost, not overlapping, in code points."""
+    return f"""
+        SELECT doc_id, '{kind}' AS kind, {place} AS place, list_sum(list_transform(g[:k], lambda x: length(x))) + coalesce(list_sum(list_transform(m[:k - 1], lambda x: length(x))), 0) AS a, length(m[k]) AS n
+        FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {group}) AS v,
+                     unnest(range(1, len(regexp_extract_all(t, '{pattern}', 0)) + 1)) AS k FROM d)
+        WHERE length(v[k]) >= {least}"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_blob_ledger": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        s AS ({_spans_sql("assign", 0, _ASSIGN, 1, 6)} UNION ALL {_spans_sql("access", 1, "AKIA[A-Z0-9]+", 0, 20)} UNION ALL {_spans_sql("hex", 2, "[0-9a-f]{24,}", 0, 24)}),
+        j AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+                     string_agg(kind || ':' || a::BIGINT || ':' || (a + n)::BIGINT, ',' ORDER BY a, place) AS spans FROM s GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN j ON d.doc_id = j.doc_id""",
+    "op8_radix_windows": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+        w AS (SELECT doc_id, i, array_slice(raw, i + 1, i + 50) AS s FROM (SELECT doc_id, raw, unnest(range(0, greatest(octet_length(raw) - 49, 0))) AS i FROM d)),
+        m AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+        c AS (SELECT w.doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY w.doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM w JOIN m ON w.s = m.s WHERE first < w.doc_id),
+        r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM c) GROUP BY doc_id, k),
+        p AS (SELECT r.doc_id, a, b, hex(array_slice(raw, coalesce(lag(b) OVER (PARTITION BY r.doc_id ORDER BY a), 0) + 1, a)) AS piece FROM r JOIN d ON r.doc_id = d.doc_id),
+        k AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS e, string_agg(piece, '' ORDER BY a) AS kept FROM p GROUP BY doc_id)
+        SELECT d.doc_id, octet_length(raw)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(kept || hex(array_slice(raw, e + 1, octet_length(raw))), hex(raw)))) AS kept_sha256
+        FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op7_cap_filters": """
         WITH RECURSIVE v AS (
             SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS n
