@@ -24,7 +24,7 @@ from tilewright.llm import common
 _WORD = re.compile(r"\w+|[^\w\s]+")
 
 #: Entries of a worker's memory of word hashes; once full, it takes no more.
-MOST_WORDS = 300_000
+MOST_WORDS = 150_000
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 

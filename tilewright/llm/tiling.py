@@ -31,7 +31,7 @@ CHUNK_WORDS = 2_000_000
 _WORD = re.compile(r"\w+")
 _BASE = 0x9E3779B97F4A7C15
 _hashes: dict[str, int] = {}
-_MOST = 300_000
+_MOST = 150_000
 
 
 def word_hashes(text: str) -> np.ndarray:

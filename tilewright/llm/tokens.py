@@ -14,7 +14,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 #: Entries of each memory; once full, it takes no more (common words come early).
-MOST_PARTS, MOST_WORDS = 500_000, 1_000_000
+MOST_PARTS, MOST_WORDS = 300_000, 600_000
 
 #: Longer parts are encoded each time.
 LONGEST = 64
