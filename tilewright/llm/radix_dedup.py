@@ -37,16 +37,22 @@ KEPT_BITS = 40
 #: Texts with an anchor from which on its windows are dealt out one by one.
 HOT = 4_096
 
-#: Marks (8 bytes each) and ids up to which the second and third reading get them by broadcast.
-BROADCAST_MARKS, BROADCAST_IDS = 8_000_000, 2_000_000
+#: Bits and hashes per surviving value in the Bloom blocks that the second reading looks anchors up in, and
+#: bytes of blocks that it holds at once: beyond that it reads in turns, each with the blocks of some parts.
+BLOOM_BITS, BLOOM_HASHES, BLOOM_BYTES = 10, 5, 256 << 20
 
-#: Bytes of text worked on at once.
-SLICE = 1 << 19
+#: Numbers (8 bytes each) up to which runs go to their texts, and copies' ids to the first reading, by broadcast.
+BROADCAST_NUMBERS, BROADCAST_IDS = 8_000_000, 2_000_000
+
+#: Bytes of text worked on at once, and anchors with their sides that a task gathers before it sends them.
+SLICE, GATHERED = 1 << 19, 1 << 17
 
 NO_ID = 2**63 - 1
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
+_RUN = pa.schema([("tid", pa.int64()), ("least", pa.int64()), ("run", pa.int64())])
+
 RECORD = np.dtype([("mark", "<u8"), ("tid", "<i8"), ("least", "<i8"), ("at", "<i4"), ("left", "u1"), ("right", "u1"), ("low", "u1"), ("high", "u1"), ("bytes", "u1", (WINDOW + SIDE,))])
 
 
@@ -128,11 +134,54 @@ def _order(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, own, np.append(first, len(parts))
 
 
+def _bloom_place(mark: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
+    """The k-th place of values in blocks of `size` bits."""
+    h = (mark + np.uint64(k + 1)) * _C[k % 4]
+    h ^= h >> np.uint64(31)
+    h *= _C[(k + 1) % 4]
+    return ((h >> np.uint64(11)) % size.astype(np.uint64)).astype(np.int64)
+
+
+def bloom_block(mark: np.ndarray) -> np.ndarray:
+    """The block of a part's values, a whole number of bytes."""
+    size = np.full(1, (len(mark) * BLOOM_BITS + 7) // 8 * 8)
+    bits = np.zeros(int(size[0]), bool)
+    for k in range(BLOOM_HASHES):
+        bits[_bloom_place(mark, size, k)] = True
+    return np.packbits(bits, bitorder="little")
+
+
+class Blocks:
+    """The Bloom blocks of some parts, and the hot values among them."""
+
+    def __init__(self, rows: list[tuple[int, bytes, bytes]], bits: int):
+        self.size, self.begin = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        at = 0
+        for part, block, _ in rows:
+            self.size[part], self.begin[part] = len(block) * 8, at
+            at += len(block) * 8
+        self.bytes = np.frombuffer(b"".join(block for _, block, _ in rows), np.uint8)
+        self.hot = np.frombuffer(b"".join(hot for _, _, hot in rows), "<u8")
+
+    def keeps(self, mark: np.ndarray) -> np.ndarray:
+        """Places of the values that may have survived: all that have, and one in a hundred others."""
+        left = np.flatnonzero(self.size[(mark >> np.uint64(KEPT_BITS)).astype(np.int64)])
+        for k in range(BLOOM_HASHES):
+            if not len(left):
+                break
+            own = mark[left]
+            part = (own >> np.uint64(KEPT_BITS)).astype(np.int64)
+            at = self.begin[part] + _bloom_place(own, self.size[part], k)
+            left = left[(self.bytes[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+        return left
+
+
 def first_pass(texts: DataFrame, bits: int, hot: int = HOT) -> DataFrame:
-    """Marks (tid, mark, hot) of anchors that stand in two texts or more.
+    """Values of anchors that stand in two texts or more: per part a Bloom block and the hot values.
 
-    texts: tid, raw (binary). A task packs its anchors into one blob per part and
-    batch; a part's task sorts the values and keeps groups of several texts.
+    texts: tid, raw (binary); any number that differs from row to row will do as tid,
+    small steps pack best. A task packs its anchors into one blob per part and batch;
+    a part's task sorts the values and keeps groups of several texts.
     """
     kept = np.uint64(64 - bits - KEPT_BITS)
 
@@ -166,13 +215,13 @@ def first_pass(texts: DataFrame, bits: int, hot: int = HOT) -> DataFrame:
         mark, tid = mark[once], tid[once]
         first = np.flatnonzero(np.append(True, mark[1:] != mark[:-1]))
         n = np.diff(np.append(first, len(mark)))
-        n = np.repeat(n, n)
-        mark, tid, n = (x[n > 1] for x in (mark, tid, n))
-        mark |= part << np.uint64(KEPT_BITS)
-        return pa.table({"tid": tid, "mark": mark.view(np.int64), "hot": n >= hot})
+        several = n > 1
+        mark, n = mark[first][several] | part << np.uint64(KEPT_BITS), n[several]
+        rows = len(mark) and 1
+        return pa.table({"part": pa.array([int(part)] * rows, pa.int32()), "block": pa.array([bloom_block(mark).tobytes()] * rows, pa.binary()), "hot": pa.array([mark[n >= hot].tobytes()] * rows, pa.binary())})
 
     dealt = texts.mapInArrow(deal, "part int, low binary, tid binary")
-    return dealt.groupBy("part").applyInArrow(keep, "tid long, mark long, hot boolean")
+    return dealt.groupBy("part").applyInArrow(keep, "part int, block binary, hot binary")
 
 
 def _mixed(mark: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -181,17 +230,22 @@ def _mixed(mark: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return h * _C[3]
 
 
-def _sides(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the nearest 0, 1, ... 30 bytes left and right of each row's anchor."""
-    left, right = np.zeros((SIDE + 1, len(rows)), np.uint64), np.zeros((SIDE + 1, len(rows)), np.uint64)
-    middle = np.zeros(len(rows), np.uint64)
+def _growing(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of the nearest 0, 1, ... 30 bytes left and right of each row's anchor; those on the left hold the anchor too."""
+    left, right = np.zeros(len(rows), np.uint64), np.ones(len(rows), np.uint64)
     for k in range(DIGIT):
-        middle = middle * _C[2] + rows["bytes"][:, SIDE + k]
-    left[0], right[0] = middle, 1
+        left = left * _C[2] + rows["bytes"][:, SIDE + k]
+    yield left, right
     for k in range(SIDE):
-        left[k + 1] = left[k] * _C[1] + rows["bytes"][:, SIDE - 1 - k] + np.uint64(1)
-        right[k + 1] = right[k] * _C[0] + rows["bytes"][:, SIDE + DIGIT + k] + np.uint64(1)
-    return left, right
+        left = left * _C[1] + rows["bytes"][:, SIDE - 1 - k] + np.uint64(1)
+        right = right * _C[0] + rows["bytes"][:, SIDE + DIGIT + k] + np.uint64(1)
+        yield left, right
+
+
+def _sides(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All of them, by the number of bytes."""
+    left, right = zip(*_growing(rows), strict=True)
+    return np.array(left), np.array(right)
 
 
 def _earlier(key: np.ndarray, rows: np.ndarray, cut: slice) -> np.ndarray:
@@ -218,8 +272,9 @@ def whole_sides(rows: np.ndarray) -> np.ndarray:
     later = np.zeros(len(rows), bool)
     full = np.flatnonzero((rows["left"] == SIDE) & (rows["right"] == SIDE) & (rows["low"] == 0) & (rows["high"] == SIDE))
     if len(full):
-        left, right = _sides(rows[full])
-        later[full] = _earlier(_mixed(rows["mark"][full], left[SIDE], right[SIDE]), rows[full], slice(0, WINDOW + SIDE))
+        for left, right in _growing(rows[full]):
+            pass  # the last ones are of all bytes
+        later[full] = _earlier(_mixed(rows["mark"][full], left, right), rows[full], slice(0, WINDOW + SIDE))
     return later
 
 
@@ -248,34 +303,27 @@ def _runs(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Table:
     hit = high >= 0
     start = rows["at"][hit].astype(np.int64) - high[hit]
     end = rows["at"][hit].astype(np.int64) + WINDOW - low[hit]
-    return pa.table({"tid": rows["tid"][hit], "run": (start << 32) | end})
+    return pa.table({"tid": rows["tid"][hit], "least": rows["least"][hit], "run": (start << 32) | end})
 
 
-def second_pass(marked: DataFrame, bits: int) -> DataFrame:
-    """Runs (tid, run = start << 32 | end) of repeated bytes.
+def second_pass(texts: DataFrame, blocks: Blocks, bits: int) -> DataFrame:
+    """Runs (tid, least, run = start << 32 | end) of repeated bytes, for the anchors that `blocks` keeps.
 
-    marked: tid, least (the smallest doc_id with the text), raw, marks, hot (arrays
-    of the first pass). A hot anchor's windows are dealt out each by its own hash,
-    so that no part has to hold all texts with it. Rows that a batch settles by
-    itself don't move.
+    texts: tid, least (its row's id), raw. A hot anchor's windows are dealt out each
+    by its own hash, so that no part has to hold all texts with it. Rows that a
+    batch settles by itself don't move. A value that survived by chance has no
+    equal and gives no run.
     """
     kept = np.uint64(64 - bits - KEPT_BITS)
+    shared = texts.sparkSession.sparkContext.broadcast(blocks)
 
     def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         tids, leasts = batch["tid"].to_numpy(), batch["least"].to_numpy()
-        marks, hots = ([np.array(x, np.int64).view(np.uint64) for x in batch[c].to_pylist()] for c in ("marks", "hot"))
-        every = np.concatenate([*marks, np.array([], np.uint64)])
-        owner = np.repeat(np.arange(len(marks)), [len(m) for m in marks])
-        every_hot = np.concatenate([*hots, np.array([], np.uint64)])
         for row, at, h, data, offsets in _anchors_of(batch["raw"]):
             mark = h >> kept
-            near = np.flatnonzero(np.isin(mark, every))
+            near = shared.value.keeps(mark)
             if not len(near):
                 continue
-            # a text's own marks: pairs of (text, mark) among those listed
-            lo, hi = np.searchsorted(owner, [row[0], row[-1] + 1])
-            listed = np.unique(_mixed(every[lo:hi], owner[lo:hi].astype(np.uint64), np.uint64(0)))
-            near = near[np.isin(_mixed(mark[near], row[near].astype(np.uint64), np.uint64(0)), listed)]
             row, at, mark = row[near], at[near], mark[near]
             out = np.zeros(len(near), RECORD)
             out["mark"], out["tid"], out["least"], out["at"] = mark, tids[row], leasts[row], at - offsets[row]
@@ -285,47 +333,59 @@ def second_pass(marked: DataFrame, bits: int) -> DataFrame:
             around = at[:, None] + np.arange(-SIDE, DIGIT + SIDE)
             there = (around >= offsets[row][:, None]) & (around < offsets[row + 1][:, None])
             out["bytes"] = np.where(there, data[np.clip(around, 0, len(data) - 1)], 0)
-            yield out, np.isin(mark, every_hot)
+            yield out, np.isin(mark, shared.value.hot)
+
+    def packed(rows: np.ndarray, route: np.ndarray) -> pa.RecordBatch:
+        order, parts, edges = _order(route)
+        rows = rows[order]
+        blobs = [rows[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        none = pa.nulls(len(parts), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int32)), pa.array(blobs, pa.binary()), none, none, none], ["part", "rows", *_RUN.names])
+
+    def send(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        rows, hot = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        found.clear()
+        done = whole_sides(rows)
+        settled = _runs(rows, np.zeros(len(rows), int), np.where(done, SIDE, -1))
+        plain, wide = rows[~done & ~hot], rows[~done & hot]
+        del rows
+        yield packed(plain, plain["mark"] >> np.uint64(KEPT_BITS))
+        for begin in range(0, len(wide), 1 << 14):
+            some = wide[begin : begin + (1 << 14)]
+            left, right = _sides(some)
+            each, routes = [], []
+            for before in range(SIDE + 1):
+                ok = (some["left"] >= before) & (some["right"] >= SIDE - before)
+                one = some[ok]
+                one["low"] = one["high"] = before
+                each.append(one)
+                routes.append(_mixed(one["mark"], left[before][ok], right[SIDE - before][ok]) >> np.uint64(64 - bits))
+            yield packed(np.concatenate(each), np.concatenate(routes))
+        if settled.num_rows:
+            # settled runs ride along, spread over the parts
+            spread = pa.array((np.arange(settled.num_rows) % (1 << bits)).astype(np.int32))
+            columns = [spread, pa.nulls(settled.num_rows, pa.binary()), *(settled[c].combine_chunks() for c in _RUN.names)]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "rows", *_RUN.names])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, n = [], 0
         for batch in batches:
-            found = list(rows_of(batch))
-            if not found:
-                continue
-            rows, hot = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-            done = whole_sides(rows)
-            settled = _runs(rows[done], np.zeros(done.sum(), int), np.full(done.sum(), SIDE))
-            rows, hot = rows[~done], hot[~done]
-            route = rows["mark"] >> np.uint64(KEPT_BITS)
-            if hot.any():
-                wide = rows[hot]
-                left, right = _sides(wide)
-                each, routes = [], []
-                for before in range(SIDE + 1):
-                    ok = (wide["left"] >= before) & (wide["right"] >= SIDE - before)
-                    one = wide[ok]
-                    one["low"] = one["high"] = before
-                    each.append(one)
-                    routes.append(_mixed(one["mark"], left[before][ok], right[SIDE - before][ok]) >> np.uint64(64 - bits))
-                rows, route = np.concatenate([rows[~hot], *each]), np.concatenate([route[~hot], *routes])
-            order, parts, edges = _order(route)
-            rows = rows[order]
-            blobs = [rows[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            none = pa.nulls(len(parts), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int32)), pa.array(blobs, pa.binary()), none, none], ["part", "rows", "tid", "run"])
-            if settled.num_rows:
-                # settled runs ride along, spread over the parts
-                spread = pa.array((np.arange(settled.num_rows) % (1 << bits)).astype(np.int32))
-                columns = [spread, pa.nulls(settled.num_rows, pa.binary()), settled["tid"].combine_chunks(), settled["run"].combine_chunks()]
-                yield pa.RecordBatch.from_arrays(columns, ["part", "rows", "tid", "run"])
+            for one in rows_of(batch):
+                found.append(one)
+                n += len(one[0])
+                if n >= GATHERED:
+                    yield from send(found)
+                    n = 0
+        if found:
+            yield from send(found)
 
     def match(group: pa.Table) -> pa.Table:
         rows = np.frombuffer(b"".join(x for x in group["rows"].to_pylist() if x is not None), RECORD)
-        settled = group.select(["tid", "run"]).filter(group["run"].is_valid())
-        return pa.concat_tables([settled.cast(pa.schema([("tid", pa.int64()), ("run", pa.int64())])), _runs(rows, *repeated(rows)).cast(pa.schema([("tid", pa.int64()), ("run", pa.int64())]))])
+        settled = group.select(_RUN.names).filter(group["run"].is_valid())
+        return pa.concat_tables([settled.cast(_RUN), _runs(rows, *repeated(rows)).cast(_RUN)])
 
-    dealt = marked.mapInArrow(deal, "part int, rows binary, tid long, run long")
-    return dealt.groupBy("part").applyInArrow(match, "tid long, run long")
+    dealt = texts.mapInArrow(deal, "part int, rows binary, tid long, least long, run long")
+    return dealt.groupBy("part").applyInArrow(match, "tid long, least long, run long")
 
 
 def merged(runs: np.ndarray) -> np.ndarray:
@@ -339,7 +399,7 @@ def merged(runs: np.ndarray) -> np.ndarray:
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         runs = [merged(np.array(x, np.int64)) for x in batch["runs"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["tid"], pa.array(runs, pa.list_(pa.int64()))], ["tid", "runs"])
+        yield pa.RecordBatch.from_arrays([batch["tid"], batch["least"], pa.array(runs, pa.list_(pa.int64()))], ["tid", "least", "runs"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,46 +414,57 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append(sum((run & 0xFFFFFFFF) - (run >> 32) for run in runs))
             spans.append(len(runs))
             kept.append(sha.hexdigest())
-        yield pa.RecordBatch.from_arrays([batch["tid"], pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept)], ["tid", "n_removed", "n_spans", "kept_sha256"])
-
+        yield pa.RecordBatch.from_arrays([batch["tid"], batch["least"], pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept)], ["tid", "least", "n_removed", "n_spans", "kept_sha256"])
 
-def _small(df: DataFrame, weight: int, most: int) -> DataFrame:
-    return F.broadcast(df) if weight <= most else df
 
+def repeated_runs(docs: DataFrame, hot: int = HOT, held: int = BLOOM_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(rows, done) for `docs` (doc_id, text).
 
-def repeated_runs(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, owners, runs) for `docs` (doc_id, text).
+    rows: id (doc_id, NO_ID if null), doc_id, sha, quick (a 64-bit hash of the text),
+    n_bytes, and least, the smallest id with the same text. done: tid (quick), least,
+    n_removed, n_spans and kept_sha256 of the texts in which bytes are repeated.
 
-    rows: id (doc_id, NO_ID if null), doc_id, sha, n_bytes of every row. owners: one
-    row per distinct text: sha, tid, least, quick. runs: tid and the merged runs of
-    its bytes that stand in a text with a smaller least id.
+    Texts are read three times and move in none of the first two; the third sends
+    the runs to their texts by broadcast, or joins if they are too many.
     """
-    texts = common.doc_texts(docs).withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("quick", F.xxhash64("text")).withColumn("raw", F.col("text").cast("binary"))
-    rows = common.saved(texts.select("id", "doc_id", F.sha2("text", 256).alias("sha"), "quick", F.octet_length("text").cast("long").alias("n_bytes")))
-    owners = rows.groupBy("sha").agg(F.min("id").alias("least"), F.first("quick").alias("quick"), F.first("n_bytes").alias("n_bytes"))
-    owners = common.saved(owners.withColumn("tid", F.monotonically_increasing_id()))
-    n, total = owners.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    texts = common.doc_texts(docs).withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("tid", F.xxhash64("text")).withColumn("raw", F.col("text").cast("binary"))
+    rows = texts.select("id", "doc_id", F.unhex(F.sha2("text", 256)).alias("sha"), F.col("tid").alias("quick"), F.octet_length("text").cast("long").alias("n_bytes"))
+    rows = common.saved(rows)
+    owners = rows.groupBy("sha").agg(F.min("id").alias("least")).withColumnRenamed("sha", "__sha")
+    rows = common.saved(rows.join(owners, rows["sha"] == F.col("__sha")).drop("__sha"))
+    total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     bits = min(MOST_BITS, max(LEAST_BITS, (total // PART_BYTES).bit_length()))
 
-    def with_text(some: DataFrame, weight: int, most: int) -> DataFrame:
-        """The text of each owner: its row in `docs` has the least id and the same hash."""
-        few = _small(some.withColumnRenamed("quick", "__quick"), weight, most)
-        return texts.select("id", "quick", "raw").join(few, (F.col("id") == few["least"]) & (F.col("quick") == few["__quick"])).drop("id", "quick", "__quick")
-
-    long = owners.where(F.col("n_bytes") >= WINDOW).select("tid", "least", "quick")
-    marks = first_pass(with_text(long, n, BROADCAST_IDS).select("tid", "raw"), bits, hot)
-    marks = marks.groupBy("tid").agg(F.collect_list("mark").alias("marks"), F.collect_list(F.when(F.col("hot"), F.col("mark"))).alias("hot"))
-    marks = common.saved(marks.join(long, "tid"))
-    weight = marks.agg(F.coalesce(F.sum(F.size("marks") + F.size("hot") + 8), F.lit(0))).first()[0]
-    found = second_pass(with_text(marks, weight, BROADCAST_MARKS).select("tid", "least", "raw", "marks", "hot"), bits)
-    runs = found.groupBy("tid").agg(F.collect_list("run").alias("runs")).mapInArrow(_merge, "tid long, runs array<long>")
-    runs = common.saved(runs.join(long, "tid"))
-    weight = runs.agg(F.coalesce(F.sum(F.size("runs") + 8), F.lit(0))).first()[0]
-    done = with_text(runs, weight, BROADCAST_MARKS).select("tid", "raw", "runs").mapInArrow(_cut, "tid long, n_removed long, n_spans long, kept_sha256 string")
-    return rows, owners, done.dropDuplicates(["tid"])
-
-
-def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    long = texts.where(F.octet_length("text") >= WINDOW).select("tid", F.col("id").alias("least"), "raw")
+    copies = rows.where(F.col("id") > F.col("least")).select(F.col("quick").alias("__tid"), F.col("id").alias("__id")).distinct()
+    if copies.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:  # copies change nothing; leaving them out saves work
+        long = long.join(F.broadcast(copies), (F.col("tid") == F.col("__tid")) & (F.col("least") == F.col("__id")), "left_anti")
+
+    kept = common.saved(first_pass(long.select(F.monotonically_increasing_id().alias("tid"), "raw"), bits, hot))
+    sizes = kept.select("part", F.length("block").alias("n")).orderBy("part").collect()  # a row per part
+    turns, room = [], 0
+    for part, n in sizes:
+        if not turns or room + n > held:
+            turns.append([])
+            room = 0
+        turns[-1].append(part)
+        room += n
+    found = None
+    for turn in turns:
+        blocks = Blocks([tuple(r) for r in kept.where(F.col("part").between(turn[0], turn[-1])).toLocalIterator()], bits)
+        runs = second_pass(long, blocks, bits)
+        found = runs if found is None else found.unionByName(runs)
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], "tid long, least long, run long")
+    runs = common.saved(found.groupBy("tid", "least").agg(F.collect_list("run").alias("runs")).mapInArrow(_merge, "tid long, least long, runs array<long>"))
+    n = runs.agg(F.coalesce(F.sum(F.size("runs") + 8), F.lit(0))).first()[0]
+    few = (F.broadcast(runs) if n <= BROADCAST_NUMBERS else runs).withColumnsRenamed({"tid": "__tid", "least": "__least"})
+    own = long.join(few, (F.col("tid") == F.col("__tid")) & (F.col("least") == F.col("__least"))).select("tid", "least", "raw", "runs")
+    done = own.mapInArrow(_cut, "tid long, least long, n_removed long, n_spans long, kept_sha256 string")
+    return rows, done.dropDuplicates(["tid", "least"])
+
+
+def remove_repeats(docs: DataFrame, hot: int = HOT, held: int = BLOOM_BYTES) -> DataFrame:
     """Bytes of each text that a 50-byte string covers which also starts in a document with a smaller doc_id.
 
     docs: doc_id, text. Returns doc_id, n_bytes, n_removed, n_spans (maximal removed
@@ -406,9 +477,9 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     each other. Repeated rows stay. An empty table has no rows. Other columns are
     ignored.
     """
-    rows, owners, done = repeated_runs(docs, hot)
-    known = owners.select("sha", "tid", "least").join(common.saved(done), "tid", "left").withColumnRenamed("sha", "__sha")
-    joined = rows.join(known, rows["sha"] == F.col("__sha"))
+    rows, done = repeated_runs(docs, hot, held)
+    done = done.withColumnsRenamed({"tid": "__tid", "least": "__least"})
+    joined = rows.join(done, (rows["quick"] == done["__tid"]) & (rows["least"] == done["__least"]), "left")
     copy = (F.col("id") > F.col("least")) & (F.col("n_bytes") >= WINDOW)
     zero = F.lit(0).cast("long")
     return joined.select(
@@ -416,5 +487,5 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
         "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
         F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", zero)).cast("long").alias("n_spans"),
-        F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+        F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
     )
