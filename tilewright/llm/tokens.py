@@ -19,7 +19,6 @@ MOST_PARTS, MOST_WORDS = 300_000, 600_000
 #: Longer parts are encoded each time.
 LONGEST = 64
 
-_RUN = re.compile(r"\s\s")
 _CUT = re.compile(r" (?=\S)")
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ſ]+)([!-/:-@\[-`{-~]*)")
 
@@ -40,13 +39,18 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        parts = _CUT.split(text) if _RUN.search(text) else text.split(" ")
-        first = self._plain(parts[0])
+        return self._joined(text.split(" "), text)
+
+    def _joined(self, parts: list[str], text: str | None) -> bytes:
+        """Ids of parts with a space between; `text` is given if they were cut at every space, whatever follows it."""
         known = list(map(self.parts.get, parts[1:]))
         if None in known:
-            learnt = self._learn({part for part, ids in zip(parts[1:], known, strict=True) if ids is None})
+            missing = {part for part, ids in zip(parts[1:], known, strict=True) if ids is None}
+            if text is not None and any(not part or part[0].isspace() for part in missing):
+                return self._joined(_CUT.split(text), None)
+            learnt = self._learn(missing)
             known = [learnt[part] if ids is None else ids for part, ids in zip(parts[1:], known, strict=True)]
-        return first + b"".join(known)
+        return self._plain(parts[0]) + b"".join(known)
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if text else b""
@@ -71,7 +75,7 @@ class Encoder:
         for part, ids in out.items():
             if len(self.parts) >= MOST_PARTS:
                 break
-            if len(part) <= LONGEST:
+            if 0 < len(part) <= LONGEST and not part[0].isspace():  # such parts always tell where a text was cut wrongly
                 self.parts[part] = ids
         return out
 
