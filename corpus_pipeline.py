@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import common, packing, quality, secrets, simhash, tiling
+from tilewright.llm import common, near_copies, packing, quality, secrets, tiling
 from tilewright.runtime import prepare
 
 
@@ -20,9 +20,9 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: of each group of near copies the document with the smallest id stays."""
+    """Operator 6, and pairs with 5-word similarity 0.8 or more: of each group of near copies the smallest id stays."""
     prepare(spark)
-    return simhash.keep_first(docs)
+    return near_copies.keep_first(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
