@@ -27,7 +27,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents that hold a benchmark item go."""
-    return tiling.decontaminate(docs, prepare(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return tiling.without_leaks(docs, prepare(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -199,6 +199,36 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, least: int = LEAST
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, least: int = LEAST_WORDS, coverage: float = COVERAGE) -> DataFrame:
-    """`docs` without the documents that hold `coverage` or more of an item; all columns stay."""
+    """`docs` without all rows whose doc_id (null too) a contaminated document has; all columns stay.
+
+    Clean rows that share such an id go as well: `without_leaks` looks at each row.
+    """
     ids = common.saved(contaminated_pairs(docs, benchmark, least, coverage).select("doc_id").distinct())
     return common.without_ids(docs, ids)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST_WORDS, coverage: float = COVERAGE) -> DataFrame:
+    """`docs` without the rows whose own text holds `coverage` or more of an item; all columns stay.
+
+    Each row is judged by its text alone: clean rows with a null or repeated doc_id stay.
+    """
+    rows = benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator()
+    for chunk in _chunks((row[0], row[1]) for row in rows):
+        shared = docs.sparkSession.sparkContext.broadcast(Seeds(chunk, least))
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            seeds = shared.value
+            for batch in batches:
+                yield batch.filter(pa.array([not _leaks(seeds, text.as_py() or "", least, coverage) for text in batch["text"]], pa.bool_()))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs
+
+
+def _leaks(seeds: Seeds, text: str, least: int, coverage: float) -> bool:
+    """Whether `text` holds `coverage` or more of an item."""
+    for k, runs in seeds.runs(word_hashes(text)).items():
+        n = len(seeds.items[k][1])
+        if sum(size for size, _, _ in tiles(runs, n, least)) / n >= coverage:
+            return True
+    return False
