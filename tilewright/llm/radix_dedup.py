@@ -1,9 +1,10 @@
-"""Removing repeated byte strings by a depth-limited radix sort of suffixes.
+"""Removing repeated byte strings by anchors, in place of a depth-limited radix sort of suffixes.
 
 Every 50-byte window (a suffix cut at the threshold) is grouped by its digits,
 most significant first; groups without a second text are dropped after each pass,
 and what is equal after the last one is exactly a repeated window.
 
+No suffix is ordered: anchors stand in place of the digit passes, to move fewer values.
 The first digit is the window's anchor: of its 20-byte strings the one with the
 least hash. Windows with the same bytes have the same anchor at the same place, and
 neighbouring windows mostly share one, so the first pass moves one value for some
