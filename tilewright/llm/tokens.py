@@ -26,12 +26,18 @@ _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ſ]+)([!-/:-@\[-`{-~]*)")
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers, as the tokenizers library gives them.
 
-    No special tokens are added; their strings in a text are ordinary text.
+    No special tokens are added; where a text holds an added token's string, that token stands there.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added]
+        #: where texts are cut at added tokens; none if some take part in what stands beside them
+        self.cut_added = None
+        if not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            longest_first = sorted(self.added, key=lambda content: (-len(content), content))
+            self.cut_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
         self.parts: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.ends: dict[str, bytes] = {"": b""}
@@ -39,6 +45,11 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(content in text for content in self.added):
+            if self.cut_added is None:
+                return self._plain(text)
+            cut = self.cut_added.split(text)  # texts between and added tokens in turn
+            return b"".join(self._plain(part) if k % 2 else self._joined(part.split(" "), part) for k, part in enumerate(cut) if part)
         return self._joined(text.split(" "), text)
 
     def _joined(self, parts: list[str], text: str | None) -> bytes:
