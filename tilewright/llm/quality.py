@@ -14,18 +14,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm import common
+from tilewright.llm import common, memory
 
 #: Words are runs of letters and digits, or of other marks.
 _WORD = re.compile(r"\w+|[^\w\s]+")
 
-#: Entries of a worker's memory of word hashes; once full, it takes no more.
-MOST_WORDS = 150_000
-
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,24 +47,13 @@ class Model:
     settings: Settings
 
 
-_hashes: dict[str, int] = {}
-
-
 #: A word that stands again up to so many words later also counts as the n-gram "same word, k apart", whatever the word.
 REPEATS = 3
 
 
 def ngram_ids(text: str, bits: int) -> np.ndarray:
     """Hashed ids of all words, pairs of adjacent words, and repeats of a word."""
-    words = _WORD.findall(text)
-    known = list(map(_hashes.get, words))
-    if None in known:
-        for k, h in enumerate(known):
-            if h is None:
-                known[k] = h = xxhash.xxh64_intdigest(words[k])
-                if len(_hashes) < MOST_WORDS:
-                    _hashes[words[k]] = h
-    one = np.array(known, np.uint64)
+    one = np.array(memory.word_hashes(_WORD.findall(text)), np.uint64)
     two = (one[:-1] * _PAIR + one[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
     again = [np.full(int((one[k:] == one[:-k]).sum()), k * int(_PAIR) & (2**64 - 1), np.uint64) for k in range(1, REPEATS + 1)]
     return (np.concatenate([one, two, *again]) >> np.uint64(64 - bits)).astype(np.int64)
