@@ -124,6 +124,30 @@ def slot_totals(rows: DataFrame) -> dict[int, tuple[int, int]]:
     return {row.virtual_slot: (row.bytes, row.n) for row in found}
 
 
+def spread_repeats(rows: DataFrame, totals: dict[int, tuple[int, int]], slots: int = SLOTS) -> DataFrame | None:
+    """`rows` with the repeats of a row dealt out over all slots, where they are more than a quarter of a mean slot.
+
+    Equal rows hash to one slot, which nothing could balance. Only slots over twice
+    the mean, by bytes or rows, are looked at; there can be at most 8 x `slots` groups
+    of such repeats, so they are broadcast. None if there are no such repeats.
+    """
+    mean_bytes, mean_rows = (sum(total[k] for total in totals.values()) / slots for k in (0, 1))
+    large = [slot for slot, (size, n) in totals.items() if size > 2 * mean_bytes or n > 2 * mean_rows]
+    if not large:
+        return None
+    key = ["doc_id", "text_crc32", "size"]
+    much = (F.col("n") > 1) & ((F.col("n") * F.col("size") > mean_bytes / 4) | (F.col("n") > mean_rows / 4))
+    hot = common.saved(rows.where(F.col("virtual_slot").isin(large)).groupBy(*key).agg(F.count("*").alias("n")).where(much).select(*(F.col(c).alias(f"__{c}") for c in key)))
+    if hot.isEmpty():
+        return None
+    same = F.lit(True)
+    for c in key:
+        same = same & rows[c].eqNullSafe(hot[f"__{c}"])
+    salted = F.pmod(F.xxhash64("doc_id", "text_crc32", F.monotonically_increasing_id()), F.lit(slots)).cast("int")
+    dealt = rows.withColumn("__salted", salted).join(F.broadcast(hot), same, "left")
+    return common.saved(dealt.withColumn("virtual_slot", F.when(F.col("__size").isNotNull(), F.col("__salted")).otherwise(F.col("virtual_slot"))).select(*rows.columns))
+
+
 def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """Put every row of `docs` (doc_id, text) into a shard of near equal bytes.
 
@@ -134,8 +158,10 @@ def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS, map_p
 
     Null or empty text has size 1 and CRC 0. A null doc_id is a value like any
     other. Rows that repeat each get a place of their own; among equal rows the
-    order is arbitrary, and they are the same. An empty table gives no rows.
-    Other columns are ignored. No shard can be smaller than its largest row.
+    order is arbitrary, and they are the same. Where repeats of one row would fill a
+    slot, they are dealt out over all slots. An empty table gives no rows. Other
+    columns are ignored. Texts of any length are measured whole; no shard can be
+    smaller than its largest row.
 
     The only wide table that moves is 28 bytes a row, dealt out by slot; the map
     (as many rows as slots) is all that is collected or broadcast.
@@ -143,6 +169,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, slots: int = SLOTS, map_p
     spark = docs.sparkSession
     rows = common.saved(measured(docs, slots))
     totals = slot_totals(rows)
+    if (spread := spread_repeats(rows, totals, slots)) is not None:
+        rows, totals = spread, slot_totals(spread)
     plan = SlotMap.initial(shards, slots).rebalanced({slot: size for slot, (size, _) in totals.items()})
     plan.save(spark, map_path or common.new_path(spark, "slot-map"))
     start, placed = [0] * shards, []
