@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an id list up to which `without_ids` broadcasts it: 16 bytes a row, 64 MB.
+#: Bytes of rows that a Python worker gets at once, unless the session says otherwise (Spark's own bound is 64 MB).
+BATCH_BYTES, _BATCH = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+#: Rows of a narrow table up to which `bounded` broadcasts it: 16 bytes a row, 64 MB.
 BROADCAST_ROWS = 4_000_000
 
 
@@ -35,6 +38,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def doc_texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id as long and text, null text as empty; all other columns are left out."""
+    small_batches(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
@@ -42,6 +46,12 @@ def doc_texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes that go to a Python worker at once, where the session sets no bound."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def ascii_lower(column: Column) -> Column:
     """A-Z to lower case, all else as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -56,6 +66,7 @@ def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of `docs` whose `key` isn't in `ids` (null equals null); columns stay."""
-    out = bounded(ids.select(F.col(ids.columns[0]).alias("__tw_out")).distinct())
-    return docs.join(out, docs[key].eqNullSafe(out["__tw_out"]), "left_anti")
+    """Rows of `docs` whose `key` isn't in `ids`, a stored table (null equals null); columns stay."""
+    from tilewright.llm import sieve
+
+    return sieve.without(docs, ids.select(F.col(ids.columns[0]).cast(docs.schema[key].dataType)), F.col(key))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import cap_filters, orc_tokens, packing, quality, radix_dedup, secrets, sharding, simhash, tiling, url_cascade
+from tilewright.llm import cap_filters, common, orc_tokens, packing, quality, radix_dedup, secrets, sharding, simhash, tiling, url_cascade
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,7 +18,10 @@ def op1_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(_read(spark, sf_dir, "documents"))
+    """Two runs over one ledger: the second knows a rule more, and scans all blobs by that one only."""
+    docs, ledger = _read(spark, sf_dir, "documents"), common.new_path(spark, "blob-ledger")
+    secrets.findings_by_blob(docs, secrets.RULES[:-1], ledger)
+    return secrets.find_secrets(docs, ledger=ledger)
 
 
 def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
