@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm import common, components, simhash
+from tilewright.llm import common, components, sieve, simhash
 
 WORDS, SIMILARITY = 5, 0.8
 
@@ -105,12 +105,11 @@ def _similar_links(docs: DataFrame, distinct: DataFrame, block: int) -> DataFram
     """Links (u, v) of `distinct` (id, t1, t2, bands), whose texts stand in `docs`, by their shingles."""
     met = distinct.select("id", F.explode("bands").alias("band"))
     shared = common.saved(met.groupBy("band").agg(F.min("id").alias("v"), F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("__band"), "v"))
-    shared = common.bounded(shared)
     stars = met.join(shared, met["band"] == shared["__band"]).select(F.col("id").alias("u"), "v").distinct()
     group = common.saved(components.components(stars))
     parts = group.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     member = distinct.select("id", "t1", "t2").join(group, "id").join(parts, "component").select("id", "component", "parts", F.col("t1").alias("__m1"), F.col("t2").alias("__m2"))
-    member = common.bounded(common.saved(member))
+    member = common.saved(member)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,6 +117,7 @@ def _similar_links(docs: DataFrame, distinct: DataFrame, block: int) -> DataFram
             yield pa.RecordBatch.from_arrays([batch["id"], batch["component"], batch["parts"], own], ["id", "component", "parts", "own"])
 
     texts = _keys(docs.select(F.coalesce("text", F.lit("")).alias("text")))
+    texts = texts.where(sieve.may_be(docs, sieve.sieve(member, "__m1", "__m2"), "__t1", "__t2"))
     texts = texts.join(member, (texts["__t1"] == member["__m1"]) & (texts["__t2"] == member["__m2"])).select("id", "component", "parts", "text")
     dealt = (
         texts.mapInArrow(sets, "id long, component long, parts int, own binary").groupBy("id", "component", "parts").agg(F.first("own").alias("own"))
@@ -142,7 +142,9 @@ def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     Near copies are texts with a Jaccard similarity of SIMILARITY or more over their
     sets of WORDS-word shingles, and also what operator 6 links; a group is what
     such links reach. Of a group the rows with its smallest doc_id stay, and those
-    without a doc_id.
+    without a doc_id. Null and empty texts are one text; a doc_id that repeats is
+    judged row by row, by its text; repeated rows go or stay together; texts of any
+    length are taken whole. An empty table has no rows.
     """
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +156,7 @@ def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     rows = _keys(common.doc_texts(docs)).mapInArrow(signed, "doc_id long, t1 long, t2 long, bits long, bands array<long>")
     rows = common.saved(rows)
-    distinct = rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
+    distinct = rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
     distinct = common.saved(distinct.withColumn("id", F.monotonically_increasing_id()))
     first = common.saved(distinct.groupBy("bits").agg(F.min("id").alias("first")))
     balls = common.saved(simhash.links(first.select("bits"), first.count()))
@@ -163,11 +165,11 @@ def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     equal = distinct.join(first, "bits").where(F.col("id") != F.col("first")).select(F.col("id").alias("u"), F.col("first").alias("v"))
     links = common.saved(_similar_links(docs, distinct, block).unionByName(balls).unionByName(equal))
     found = common.saved(components.components(links))
-    owner = common.saved(distinct.select("id", "t1", "t2", "least").join(found, "id", "left").select("t1", "t2", "least", F.coalesce("component", "id").alias("root")))
-    best = owner.groupBy("root").agg(F.min("least").alias("stays"))
-    named = owner.join(best, "root").select(F.col("t1").alias("__n1"), F.col("t2").alias("__n2"), "stays")
-    gone = rows.join(named, (rows["t1"] == named["__n1"]) & (rows["t2"] == named["__n2"])).where(F.col("doc_id") != F.col("stays"))
-    gone = common.bounded(common.saved(gone.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__g1"), F.col("t2").alias("__g2")).distinct()))
+    owner = common.saved(distinct.select("id", "t1", "t2", "least", "n").join(found, "id", "left").select("t1", "t2", "least", "n", F.coalesce("component", "id").alias("root")))
+    best = common.saved(owner.groupBy("root").agg(F.min("least").alias("stays"), F.count("*").alias("__n")))
+    named = sieve.joined(owner.select("root", "t1", "t2", F.col("n").alias("__copies")), best, "root", owner.count())
+    named = common.saved(named.select("t1", "t2", "stays", F.col("__copies").alias("__n")))
+    gone = sieve.joined(rows.select("doc_id", "t1", "t2"), named, ["t1", "t2"], rows.count()).where(F.col("doc_id") != F.col("stays"))
+    gone = common.saved(gone.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__g1"), F.col("t2").alias("__g2")).distinct())
     keyed = _keys(docs)
-    same = (keyed["doc_id"].cast("long") == gone["__id"]) & (keyed["__t1"] == gone["__g1"]) & (keyed["__t2"] == gone["__g2"])
-    return keyed.join(gone, same, "left_anti").drop("__t1", "__t2")
+    return sieve.without(keyed, gone, F.col("doc_id").cast("long"), F.col("__t1"), F.col("__t2")).drop("__t1", "__t2")

@@ -91,19 +91,19 @@ def may_be(docs: DataFrame, own: Sieve, *key: Column | str) -> Column:
     return passes(*hashed(*key))
 
 
-def joined(rows: DataFrame, facts: DataFrame, key: str, total: int) -> DataFrame:
+def joined(rows: DataFrame, facts: DataFrame, key: str | list[str], total: int) -> DataFrame:
     """Left join of `rows` to `facts`, whose `key` doesn't repeat and whose __n says how many rows have it.
 
     A key of more than one in PARTS of the `total` rows, of which there are fewer
     than PARTS, is split: its rows go to several tasks, with a copy of the fact each.
     """
-    parts = F.ceil(F.col("__n") * PARTS / max(1, total)).cast("int")
-    facts = facts.withColumn("__parts", parts)
-    hot = facts.where("__parts > 1").select(F.col(key).alias("__hot"), F.col("__parts").alias("__hot_parts"))
+    keys = [key] if isinstance(key, str) else key
+    facts = facts.withColumn("__parts", F.ceil(F.col("__n") * PARTS / max(1, total)).cast("int"))
+    hot = facts.where("__parts > 1").select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.col("__parts").alias("__hot_parts"))
     part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("__hot_parts", F.lit(1))).cast("int")
-    dealt = rows.join(F.broadcast(hot), rows[key] == hot["__hot"], "left").withColumn("__part", part).drop("__hot", "__hot_parts")
-    copies = facts.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__n", "__parts")
-    return dealt.join(copies, [key, "__part"], "left").drop("__part")
+    dealt = rows.join(F.broadcast(hot), [rows[k] == hot[f"__hot_{k}"] for k in keys], "left").withColumn("__part", part).drop(*hot.columns)
+    copies = facts.withColumn("__part", F.explode(F.sequence(F.lit(0), F.greatest(F.col("__parts"), F.lit(1)) - 1))).drop("__n", "__parts")
+    return dealt.join(copies, [*keys, "__part"], "left").drop("__part")
 
 
 def without(docs: DataFrame, gone: DataFrame, *key: Column) -> DataFrame:

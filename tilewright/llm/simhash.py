@@ -2,9 +2,8 @@
 
 Two fingerprints that differ in at most 4 bits both have a variant at most 2 flips
 away that is the same value. So every fingerprint stands for all its variants
-within 2 flips; variants meet by value, and whatever shares one is linked: two
-fingerprints within 2 of a value are within 4 of each other, and no pair within 4
-is missed.
+within 2 flips; variants meet by value, pairs that meet are deduplicated and
+verified, and no pair within 4 is missed.
 
 The variants of a fingerprint are known from it, so they are not written out to be
 shuffled: a fingerprint goes once to every block (leading bits of the variants)
@@ -17,13 +16,12 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm import common, components
+from tilewright.llm import common, components, sieve
 
 WORDS, DISTANCE = 4, 4
 
@@ -105,7 +103,8 @@ def block_forest(prints: np.ndarray, block: int, bits: int, radius: int, held: i
         same = np.flatnonzero(value[1:] == value[:-1])
         if len(same):
             links = np.unique(np.stack([member[same], member[same + 1]], 1), axis=0)
-            hang(parent, links)
+            near = np.bitwise_count(prints[links[:, 0]] ^ prints[links[:, 1]]) <= 2 * radius  # verified, pair by pair
+            hang(parent, links[near])
     root = roots(parent)
     hung = np.flatnonzero(root != np.arange(len(prints)))
     return prints[hung], prints[root[hung]]
@@ -159,17 +158,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     table has no rows. Other columns are ignored.
 
     Equal fingerprints are one from the start, whatever the number of copies; what
-    follows sees distinct values only, and joins back by value at the end.
+    follows sees distinct values only, and joins back by value at the end, a value
+    or group of very many rows in parts. Texts of any length are taken whole.
     """
     rows = common.saved(fingerprints(docs, words))
-    distinct = common.saved(rows.groupBy("bits").agg(F.min("doc_id").alias("least")))
-    found = components.components(links(distinct.select("bits"), distinct.count(), distance))
+    distinct = common.saved(rows.groupBy("bits").agg(F.min("doc_id").alias("least"), F.count("*").alias("__n")))
+    total = distinct.count()
+    found = components.components(common.saved(links(distinct.select("bits"), total, distance)))
     owner = distinct.join(common.saved(found), distinct["bits"] == F.col("id"), "left").withColumn("root", F.coalesce("component", "bits"))
-    owner = common.saved(owner.select("bits", "root", "least"))
-    # a lone value is its own component: only the linked ones need the sum
-    best = owner.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = owner.select("bits", "root").join(best, "root").select(F.col("bits").alias("__bits"), "component_id")
-    return rows.join(named, rows["bits"] == named["__bits"]).select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+    owner = common.saved(owner.select("bits", "root", "least", "__n"))
+    best = common.saved(owner.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("__n")))
+    named = sieve.joined(owner.select("root", "bits", F.col("__n").alias("__copies")), best, "root", total)
+    named = common.saved(named.select("bits", "component_id", F.col("__copies").alias("__n")))
+    return sieve.joined(rows, named, "bits", rows.count()).select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
