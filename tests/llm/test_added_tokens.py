@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import AddedToken, Tokenizer
 
-from tilewright.llm import orc_tokens, packing, tokens
+from tilewright.llm import memory, orc_tokens, packing, tokens
 
 pytest.importorskip("public_tokenizers")
 LIBRARY = Tokenizer.from_file(tokens.default_path())
@@ -40,3 +40,10 @@ def test_queries(frame):
     assert {r.doc_id: r.length for r in packing.pack_documents(frame(rows)).collect()} == expect
     assert {r.doc_id: r.n_tokens for r in orc_tokens.token_files(frame(rows)).collect()} == expect
     assert expect[1] == 4
+
+
+def test_one_memory_at_a_time():
+    memory.word_hashes(["a", "b"])
+    first = memory.held("other", dict)
+    first["x"] = 1
+    assert memory.held("other", dict) == {"x": 1} and list(memory._held) == ["other"]

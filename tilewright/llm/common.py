@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes of rows that a Python worker gets at once, unless the session says otherwise (Spark's own bound is 64 MB).
-BATCH_BYTES, _BATCH = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Settings for tables of long texts, unless the session has its own: bytes that a Python worker gets at once, and
+#: rows that a Parquet reader decodes at once. With Spark's own (64 MB, 4,096 rows) an executor's JVM takes half as much again.
+SMALL = {"spark.sql.execution.arrow.maxBytesPerBatch": "1m", "spark.sql.parquet.columnarReaderBatchSize": "512"}
 
 #: Rows of a narrow table up to which `bounded` broadcasts it: 16 bytes a row, 64 MB.
 BROADCAST_ROWS = 4_000_000
@@ -47,9 +48,10 @@ def doc_texts(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the bytes that go to a Python worker at once, where the session sets no bound."""
-    if spark.conf.get(_BATCH, None) is None:
-        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    """Bound what is decoded or sent to a Python worker at once, where the session sets no bound."""
+    for name, value in SMALL.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
 
 
 def ascii_lower(column: Column) -> Column:

@@ -8,11 +8,12 @@ there and each part encoded by itself. Parts repeat, hence the memory.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
+from tilewright.llm import memory
+
 #: Entries of each memory; once full, it takes no more (common words come early).
 MOST_PARTS, MOST_WORDS = 300_000, 600_000
 
@@ -104,10 +105,9 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and file: its memory outlives a task."""
-    return Encoder(path)
+    """One encoder per worker process: its memory outlives a task."""
+    return memory.held(f"encoder {path}", lambda: Encoder(path))
 
 
 def default_path() -> str:
