@@ -7,9 +7,18 @@ from tests.llm.test_secrets_quality_tiling import SECRETS, expected
 from tilewright.llm import common, secrets, sieve
 
 
-@pytest.fixture(params=[1 << 27, 64])
+@pytest.fixture(params=[1 << 21, 1])
 def room(request, monkeypatch):
-    monkeypatch.setattr(sieve, "MOST_BITS", request.param)
+    monkeypatch.setattr(sieve, "MOST_WORDS", request.param)
+
+
+def test_what_passes(spark):
+    keys = common.saved(spark.range(20_000).selectExpr("id", "concat('k', id) as name"))
+    own = sieve.sieve(keys, "id", "name")
+    asked = spark.range(40_000).selectExpr("id", "concat('k', id) as name")
+    found = asked.withColumn("may", sieve.may_be(asked, own, "id", "name")).selectExpr("id < 20000 as listed", "may").groupBy("listed", "may").count().collect()
+    n = {(r.listed, r.may): r["count"] for r in found}
+    assert n[True, True] == 20_000 and n[False, True] <= 1_600
 
 
 @pytest.mark.parametrize("gone", [[], [3, None, 1000], [None], list(range(300))])

@@ -96,8 +96,8 @@ def findings_by_blob(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: s
 
     Unseen pairs are found on narrow tables. A bounded filter of them, each with one
     of the ids that hold the blob, tells in place which texts to scan: texts never
-    move, and one in a hundred others (more where the filter is overfull) is scanned
-    for nothing.
+    move, and three in a hundred others (more where the filter is overfull) are
+    scanned for nothing.
     """
     spark = docs.sparkSession
     ledger = ledger or common.new_path(spark, "blob-ledger")

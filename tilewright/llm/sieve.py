@@ -8,7 +8,6 @@ more keys than the bound is meant for, more rows pass: results never change.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,21 +17,14 @@ from pyspark.sql import functions as F
 
 from tilewright.llm import common
 
-#: Bits of a filter at most (16 MB), and bits a key: one row in a hundred passes by chance up to 13 million keys.
-MOST_BITS, KEY_BITS = 1 << 27, 10
+#: Words (64 bits) of a filter at most: 16 MB; keys a word, and bits that a key sets in its one word. Some three rows
+#: in a hundred pass by chance, up to 13 million keys.
+MOST_WORDS, WORD_KEYS, KEY_BITS = 1 << 21, 6, 5
 
 #: Parts of all rows that one task joins at most with one key's fact.
 PARTS = 1_000
 
 
-def places(low: np.ndarray, high: np.ndarray, size: int, hashes: int) -> Iterator[np.ndarray]:
-    """The bits of keys given as two 64-bit hashes, hash after hash."""
-    for k in range(hashes):
-        mixed = (low + np.uint64(k) * (high | np.uint64(1))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(31)
-        yield (mixed % np.uint64(size)).astype(np.int64)
-
-
 def hashed(*key: Column | str) -> tuple[Column, Column]:
     """A key of some columns, nulls among them, as two 64-bit hashes."""
     columns = [F.col(c) if isinstance(c, str) else c for c in key]
@@ -42,42 +34,34 @@ def hashed(*key: Column | str) -> tuple[Column, Column]:
 
 @dataclass(frozen=True)
 class Sieve:
-    bits: np.ndarray
-    size: int
-    hashes: int
+    words: np.ndarray
 
     def passes(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        out = np.ones(len(low), bool)
-        for at in places(low, high, self.size, self.hashes):
-            out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        return out
-
-
-def _unsigned(column: pd.Series) -> np.ndarray:
-    return column.to_numpy(np.int64).view(np.uint64)
+        mask = np.zeros(len(low), np.uint64)
+        for k in range(KEY_BITS):
+            mask |= np.uint64(1) << (low >> np.uint64(6 * k) & np.uint64(63))
+        return self.words[high.view(np.int64) % len(self.words)] & mask == mask
 
 
 def sieve(keys: DataFrame, *key: Column | str) -> Sieve:
     """A filter of the values of `key` in `keys`, a stored table (it is read twice).
 
-    The executors set the bits; the driver gets the words that have any, MOST_BITS bits at most.
+    Words are put together by an aggregate; the driver gets those that have any bit, MOST_WORDS at most.
     """
-    n = keys.count()
-    size = min(MOST_BITS, max(64, -(-n * KEY_BITS // 64) * 64))
-    hashes = max(1, min(7, round(size / max(1, n) * 0.69)))
+    n_words = min(MOST_WORDS, max(1, -(-keys.count() // WORD_KEYS)))
     low, high = hashed(*key)
+    mask = F.lit(0).cast("long")
+    for k in range(KEY_BITS):
+        mask = mask.bitwiseOR(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(__low, {6 * k}) & 63 as int))"))
+    rows = keys.select(low.alias("__low"), F.pmod(high, F.lit(n_words)).alias("word")).select("word", mask.alias("value"))
+    table = rows.groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+    words = np.zeros(n_words, np.uint64)
+    words[table["word"].to_numpy()] = table["value"].to_numpy().view(np.uint64)
+    return Sieve(words)
+
 
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            at = np.unique(np.concatenate([np.array([], np.int64), *places(_unsigned(batch.low), _unsigned(batch.high), size, hashes)]))
-            first = np.unique(at >> 6, return_index=True)[1]
-            value = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else np.array([], np.uint64)
-            yield pd.DataFrame({"word": (at >> 6)[first], "value": value.view(np.int64)})
-
-    table = keys.select(low.alias("low"), high.alias("high")).mapInPandas(words, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
-    bits = np.zeros(size // 64, np.uint64)
-    bits[table["word"].to_numpy()] = table["value"].to_numpy().view(np.uint64)
-    return Sieve(bits.view(np.uint8), size, hashes)
+def _unsigned(column: pd.Series) -> np.ndarray:
+    return column.to_numpy(np.int64).view(np.uint64)
 
 
 def may_be(docs: DataFrame, own: Sieve, *key: Column | str) -> Column:
