@@ -30,8 +30,8 @@ def score(values: np.ndarray, threshold: float = 0.98) -> tuple[float, float]:
 def pick_tiles(frame: Frame, rng: np.random.Generator, tile: int = 256, n: int = 16, per_tile: int = 4, most_clipped: float = 0.02, least_texture: float = 1e-4) -> list[tuple[int, int, np.ndarray]]:
     """The `n` most textured good tiles among random aligned candidates: (oy, ox, pixels), most textured first.
 
-    Only candidate crops are normalized, never the frame. A frame must be larger
-    than a tile by one period each way.
+    Memory beyond the decoded frame is one tile in single precision. Without room
+    for a tile and one period each way there are no candidates.
     """
     (height, width), (py, px) = frame["adu"].shape, frame["pattern"].shape
     if height < tile + py or width < tile + px:
