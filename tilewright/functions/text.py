@@ -43,14 +43,15 @@ def detect_license(html: Column) -> Column:
     """A post's licence tag, or null: a Creative Commons link first, then what the text says."""
     link = r"(?i)creativecommons\.org/(?:licenses/([a-z-]+)|publicdomain/(?:zero|mark))"
     said = F.lower(F.regexp_extract(html, link, 1))
-    text = strip_tags(html)
-    has = lambda pattern: text.rlike(f"(?i){pattern}")
-    by = F.concat(F.lit("by"), F.when(has(r"non[- ]?commercial|\bnc\b"), "-nc").otherwise(""), F.when(has(r"share[- ]?alike|\bsa\b"), "-sa").otherwise(""))
-    return (
-        F.when(html.rlike(link), F.when(said == "", "cc0").otherwise(said))
-        .when(has(r"\bcc0\b|public domain"), "cc0")
-        .when(has(r"creative\s*commons|\bcc[- ]by"), by)
-    )
+
+    def in_words(text: Column) -> Column:
+        has = lambda pattern: text.rlike(f"(?i){pattern}")
+        by = F.concat(F.lit("by"), F.when(has(r"non[- ]?commercial|\bnc\b"), "-nc").otherwise(""), F.when(has(r"share[- ]?alike|\bsa\b"), "-sa").otherwise(""))
+        return F.when(has(r"\bcc0\b|public domain"), "cc0").when(has(r"creative\s*commons|\bcc[- ]by"), by)
+
+    # the text is bound once by a one-element array, else it would be stripped for every pattern
+    words = F.get(F.transform(F.array(strip_tags(html)), in_words), F.lit(0))
+    return F.when(html.rlike(link), F.when(said == "", "cc0").otherwise(said)).otherwise(words)
 
 
 def link_extension(href: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.functions import text
@@ -19,8 +19,8 @@ def library_entries(images: DataFrame, rolls: DataFrame) -> DataFrame:
 
 def first_by(rows: DataFrame, key: str, *order: str) -> DataFrame:
     """One row per key, the first by `order`; rows without a key all stay."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return rows.withColumn("__rank", rank).where(F.col(key).isNull() | (F.col("__rank") == 1)).drop("__rank")
+    least = F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("__row")  # combines before the shuffle
+    return rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(least).select("__row.*").unionByName(rows.where(F.col(key).isNull()))
 
 
 def entries_by_id(ids: DataFrame, images: DataFrame, rolls: DataFrame) -> DataFrame:
@@ -40,6 +40,5 @@ def ordered_union(*parts: DataFrame, key: str = "path", other: str = "rel") -> D
     for place, part in enumerate(parts):
         part = part.withColumn("source_ord", F.lit(place))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    out = out.withColumn("__key", F.coalesce(F.col(key), F.col(other)))
-    rank = F.row_number().over(Window.partitionBy("__key").orderBy("source_ord", other))
-    return out.withColumn("__rank", rank).where("__rank = 1").drop("__key", "__rank")
+    least = F.min_by(F.struct(*out.columns), F.struct(F.col("source_ord"), F.col(other))).alias("__row")
+    return out.groupBy(F.coalesce(F.col(key), F.col(other)).alias("__key")).agg(least).select("__row.*")

@@ -18,49 +18,63 @@ def matches_iso(iso: Column, iso_list: Column, iso_min: Column, iso_max: Column)
     return F.coalesce(iso.isNotNull() & F.when(iso_list.isNotNull(), listed).otherwise(ranged), F.lit(False))
 
 
-def level_lookup(assets: DataFrame, levels: DataFrame, key: str, camera: str = "camera", iso: str = "iso", white: str = "libraw_white") -> DataFrame:
-    """Rows of `assets` (unique `key`) that the level table knows: key, level_black, level_white.
+def sensor_arrays(levels: DataFrame) -> DataFrame:
+    """One row per camera key with its sensors in order: some thousands of rows, which Spark broadcasts by their size."""
+    sensor = F.struct("variant_ix", "sensor_ix", F.coalesce("black", F.lit(0.0)).alias("black"), F.coalesce("white", F.lit(0.0)).alias("white"), "iso_list", "iso_min", "iso_max")
+    return levels.groupBy(F.col("key").alias("__level_key")).agg(F.array_sort(F.collect_list(sensor)).alias("__sensors"))
+
+
+def chosen_level(sensors: Column, iso: Column, white: Column) -> Column:
+    """The struct (far, variant_ix, black, white) that a camera's sensors give for an ISO and a decoder's white level, or null.
 
     Of each variant the first sensor that names the ISO counts, else the first
     without conditions; if its white isn't above its black the variant is out. Of
     the variants the one whose white is nearest in proportion to the decoder's
     wins, the first of equals, and must be within the bounds; without a decoder's
     white the first variant wins as it is.
-
-    The level table is one row per sensor of a camera model, some thousands, so
-    Spark broadcasts it by its size; ranks are per asset.
     """
-    asked = assets.select(F.col(key), text.norm_key(F.col(camera)).alias("__key"), F.col(iso).cast("double").alias("__iso"), F.col(white).cast("double").alias("__white"))
-    table = levels.select(*[F.col(c).alias(f"__l_{c}") for c in ("key", "variant_ix", "sensor_ix", "black", "white", "iso_list", "iso_min", "iso_max")])
-    joined = asked.join(table, F.col("__key") == F.col("__l_key"))
-    hit = matches_iso(F.col("__iso"), F.col("__l_iso_list"), F.col("__l_iso_min"), F.col("__l_iso_max"))
-    plain = F.col("__l_iso_list").isNull() & F.col("__l_iso_min").isNull() & F.col("__l_iso_max").isNull()
-    choice = F.when(hit, 0).when(plain, 1)
-    # per asset and variant the least (choice, sensor); aggregates combine before the shuffle, a window would not
-    picked = (
-        joined.withColumn("__choice", choice).where("__choice is not null")
-        .groupBy(key, "__white", "__l_variant_ix")
-        .agg(F.min(F.struct("__choice", "__l_sensor_ix", F.coalesce("__l_black", F.lit(0.0)).alias("black"), F.coalesce("__l_white", F.lit(0.0)).alias("white"))).alias("s"))
-        .where("s.white > s.black")
-    )
-    known = F.col("__white") > 0
-    far = F.when(known, F.abs(F.col("s.white") / F.col("__white") - 1.0)).otherwise(0.0)
-    best = picked.groupBy(key, "__white").agg(F.min(F.struct(far.alias("far"), F.col("__l_variant_ix"), F.col("s.black").alias("black"), F.col("s.white").alias("white"))).alias("b"))
-    ratio = F.col("b.white") / F.col("__white")
-    return best.where(~F.coalesce(known, F.lit(False)) | ratio.between(RATIO_LEAST, RATIO_MOST)).select(key, F.col("b.black").alias("level_black"), F.col("b.white").alias("level_white"))
-
-
-def resolve_levels(shards: DataFrame, levels: DataFrame, key: str, black: str = "black_per_channel", white: str = "white", n_black: int = 3, **names: str) -> DataFrame:
+
+    def weighed(s: Column) -> Column:
+        plain = s["iso_list"].isNull() & s["iso_min"].isNull() & s["iso_max"].isNull()
+        choice = F.when(matches_iso(iso, s["iso_list"], s["iso_min"], s["iso_max"]), 0).when(plain, 1)
+        return F.struct(s["variant_ix"].alias("variant_ix"), choice.alias("choice"), s["sensor_ix"].alias("sensor_ix"), s["black"].alias("black"), s["white"].alias("white"))
+
+    known = F.coalesce(white > 0, F.lit(False))
+    usable = F.array_sort(F.filter(F.transform(sensors, weighed), lambda s: s["choice"].isNotNull()))
+    # in order of variant, choice and sensor the first of each variant is its own; then the least by distance
+    firsts = lambda own: F.filter(own, lambda s, i: (i == 0) | (s["variant_ix"] != F.get(own, i - 1)["variant_ix"]))
+    far = lambda s: F.when(known, F.abs(s["white"] / white - 1.0)).otherwise(0.0)
+    rated = lambda own: F.transform(
+        F.filter(firsts(own), lambda s: s["white"] > s["black"]), lambda s: F.struct(far(s).alias("far"), s["variant_ix"].alias("variant_ix"), s["black"].alias("black"), s["white"].alias("white"))
+    )
+    best = F.get(F.transform(F.array(usable), lambda own: F.array_min(rated(own))), F.lit(0))
+    return F.get(F.filter(F.array(best), lambda x: x.isNotNull() & (~known | (x["white"] / white).between(RATIO_LEAST, RATIO_MOST))), F.lit(0))
+
+
+def _with_level(assets: DataFrame, levels: DataFrame, camera: str, iso: str, white: str) -> DataFrame:
+    """Every row of `assets` with __level, by `chosen_level`, and without a shuffle while the table of levels can be broadcast."""
+    keyed = assets.withColumn("__camera_key", text.norm_key(F.col(camera)))
+    joined = keyed.join(sensor_arrays(levels), F.col("__camera_key") == F.col("__level_key"), "left")
+    level = chosen_level(F.col("__sensors"), F.col(iso).cast("double"), F.col(white).cast("double"))
+    return joined.withColumn("__level", level).drop("__camera_key", "__level_key", "__sensors")
+
+
+def level_lookup(assets: DataFrame, levels: DataFrame, key: str, camera: str = "camera", iso: str = "iso", white: str = "libraw_white") -> DataFrame:
+    """Rows of `assets` that the level table knows: key, level_black, level_white, as `chosen_level` has them."""
+    found = _with_level(assets, levels, camera, iso, white).where("__level is not null")
+    return found.select(key, F.col("__level.black").alias("level_black"), F.col("__level.white").alias("level_white"))
+
+
+def resolve_levels(shards: DataFrame, levels: DataFrame, black: str = "black_per_channel", white: str = "white", n_black: int = 3, camera: str = "camera", iso: str = "iso") -> DataFrame:
     """Every shard with norm_black and norm_white: from the table, else the mean of the first `n_black` blacks and the shard's white."""
-    found = level_lookup(shards, levels, key, white=white, **names)
     own = F.slice(F.col(black).cast("array<double>"), 1, n_black)
     mean = F.aggregate(own, F.lit(0.0), lambda s, b: s + b) / F.size(own)
     return (
-        shards.join(found, key, "left")
-        .withColumn("from_table", F.col("level_white").isNotNull())
-        .withColumn("norm_black", F.coalesce("level_black", mean))
-        .withColumn("norm_white", F.coalesce("level_white", F.col(white).cast("double")))
-        .drop("level_black", "level_white")
+        _with_level(shards, levels, camera, iso, white)
+        .withColumn("from_table", F.col("__level").isNotNull())
+        .withColumn("norm_black", F.coalesce("__level.black", mean))
+        .withColumn("norm_white", F.coalesce("__level.white", F.col(white).cast("double")))
+        .drop("__level")
     )
 
 
@@ -79,13 +93,20 @@ def profile_knots(profiles: DataFrame, camera: str = "camera") -> DataFrame:
 
 def interpolated(knots: Column, iso: Column) -> Column:
     """The struct (iso, a, b) at an ISO: linear between knots, the end knots beyond; a and b element by element."""
-    first, last = F.get(knots, F.lit(0)), F.get(knots, F.size(knots) - 1)
-    below = F.filter(knots, lambda k: k["iso"] <= iso)
-    low, high = F.get(below, F.size(below) - 1), F.get(knots, F.size(below))
-    t = (iso - low["iso"]) / (high["iso"] - low["iso"])
-    blend = lambda name: F.zip_with(low[name], high[name], lambda p, q: (1 - t) * p + t * q)
-    between = F.struct(iso.alias("iso"), blend("a").alias("a"), blend("b").alias("b"))
-    return F.when(iso <= first["iso"], first).when(iso >= last["iso"], last).otherwise(between)
+
+    def between(ends: Column) -> Column:
+        low, high = ends["low"], ends["high"]
+        t = F.when(high["iso"] > low["iso"], (iso - low["iso"]) / (high["iso"] - low["iso"])).otherwise(0.0)
+        blend = lambda name: F.zip_with(low[name], high[name], lambda p, q: (1 - t) * p + t * q)
+        return F.struct(F.greatest(low["iso"], F.least(iso, high["iso"])).alias("iso"), blend("a").alias("a"), blend("b").alias("b"))
+
+    def ends(n: Column) -> Column:  # n knots are at this ISO or below
+        low, high = F.get(knots, n - 1), F.get(knots, n)
+        return F.struct(F.coalesce(low, high).alias("low"), F.coalesce(high, low).alias("high"))
+
+    # one search: what it finds is bound by one-element arrays
+    place = F.array(F.size(F.filter(knots, lambda k: k["iso"] <= iso)))
+    return F.get(F.transform(F.transform(place, ends), between), F.lit(0))
 
 
 def interpolate(asked: DataFrame, profiles: DataFrame, camera: str = "camera", iso: str = "iso") -> DataFrame:

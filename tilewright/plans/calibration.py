@@ -71,7 +71,7 @@ _RESOLVED = f"""
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = _assets(spark, sf_dir).withColumn("black_per_channel", F.array(*[(F.col("p_size") + k).cast("float") for k in (0, 1, 2, 99)]))
-    return lookup.resolve_levels(shards, _levels(spark), "p_partkey", white="libraw_white")
+    return lookup.resolve_levels(shards, _levels(spark), white="libraw_white")
 
 
 @_l.add(f"SELECT p_partkey, from_table, round(norm_black, 6) AS norm_black, round(norm_white, 6) AS norm_white FROM ({_RESOLVED})")
