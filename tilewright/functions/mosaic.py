@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Colour filter patterns, 0 red, 1 green, 2 blue.
@@ -97,6 +97,17 @@ def flipped(values: Column, height: int, width: int, vertical: Column, horizonta
     return F.transform(F.sequence(F.lit(0), F.lit(height * width - 1)), lambda k: F.get(values, row(k) * width + column(k)))
 
 
+def long_form(rows: DataFrame, values: str, width: int, *keep: str) -> DataFrame:
+    """One row per pixel: keep, y, x, value; for reports, since arrays stay inside their row everywhere else."""
+    pixels = rows.select(*keep, F.posexplode(values).alias("__k", "value"))
+    return pixels.select(*keep, F.floor(F.col("__k") / width).cast("int").alias("y"), F.pmod("__k", F.lit(width)).alias("x"), "value")
+
+
+def from_long_form(pixels: DataFrame, *by: str) -> DataFrame:
+    """Row-major arrays from pixels (y, x, value)."""
+    return pixels.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "x", "value"))), lambda p: p["value"]).alias("values"))
+
+
 def planes(noisy: Column, colour: Column, sigma: Column) -> Column:
     """The five input planes: noisy, red, green, blue, sigma."""
     return F.struct(noisy.alias("noisy"), one_hot(colour, 0).alias("r"), one_hot(colour, 1).alias("g"), one_hot(colour, 2).alias("b"), sigma.alias("sigma"))

@@ -59,10 +59,27 @@ def latest_checkpoint(checkpoints: DataFrame, by: list[str], path: str = "path")
     return checkpoints.groupBy(*by).agg(F.max_by(path, step).alias(path))
 
 
-def step_windows(metrics: DataFrame, by: list[str], every: int = 100, step: str = "step", loss: str = "loss") -> DataFrame:
-    """The mean loss of every `every` steps (1 to 100, 101 to 200, ...)."""
+def step_windows(metrics: DataFrame, by: list[str], every: int = 100, step: str = "step", loss: str = "loss", seconds: str | None = None, size: int = 1) -> DataFrame:
+    """The mean loss of every `every` steps (1 to 100, 101 to 200, ...); with `seconds` (of a step) also samples a second, `size` a step."""
     window = F.ceil(F.col(step) / every).cast("long").alias("window")
-    return metrics.groupBy(*by, window).agg(F.avg(loss).alias("mean_loss"), F.count("*").alias("n_steps"))
+    rate = [(F.count("*") * size / F.sum(seconds)).alias("samples_per_second")] if seconds else []
+    return metrics.groupBy(*by, window).agg(F.avg(loss).alias("mean_loss"), F.count("*").alias("n_steps"), *rate)
+
+
+def shuffled_batches(rows: DataFrame, key: str, size: int, seed: int, epoch: int = 0, by: list[str] | None = None) -> DataFrame:
+    """Full batches in an order drawn from (seed, epoch, key): the same wherever and however often it runs."""
+    drawn = rows.withColumn("__drawn", F.xxhash64(F.lit(seed), F.lit(epoch), F.col(key)))
+    return batches(drawn, ["__drawn", key], size, True, by).drop("__drawn")
+
+
+def preferred_weights(checkpoints: DataFrame, model: str = "model", ema: str = "ema") -> DataFrame:
+    """Checkpoints with weights: the averaged ones where there are any."""
+    return checkpoints.withColumn("weights", F.coalesce(ema, model))
+
+
+def append_metrics(metrics: DataFrame, path: str) -> None:
+    """A training log grows by a run's rows; what it holds stays."""
+    metrics.write.mode("append").json(path)
 
 
 def batches(rows: DataFrame, order: list, size: int, drop_last: bool, by: list[str] | None = None) -> DataFrame:

@@ -128,8 +128,17 @@ def without_holdout(profiles: DataFrame, holdout: DataFrame, camera: str = "came
     return require_count(profiles.join(holdout.select(camera).distinct(), camera, "left_anti"), what="cameras left after the holdout")
 
 
-def split_rows(rows: DataFrame, split: str, camera: str = "camera", buckets: int = 10) -> DataFrame:
-    return rows.where(hashing.camera_split(F.col(camera), buckets) == split)
+def split_rows(rows: DataFrame, split: str, camera: str = "camera", buckets: int = 10, required: bool = False) -> DataFrame:
+    """The rows whose camera falls into `split`; if `required`, none is an error."""
+    found = rows.where(hashing.camera_split(F.col(camera), buckets) == split)
+    return require_count(found, what=f"rows of the split {split!r}") if required else found
+
+
+def require_patch(patch: int, depth: int) -> int:
+    """A patch is halved `depth` times, so its side must be a multiple of that power of two."""
+    if patch <= 0 or patch % 2**depth:
+        raise ValueError(f"a patch of {patch} can't be halved {depth} times")
+    return patch
 
 
 def validation_rows(rows: DataFrame, camera: str = "camera", buckets: int = 10) -> DataFrame:

@@ -107,6 +107,15 @@ def limit_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resume.limit_before(table(spark, sf_dir, "customer").select("c_custkey"), ledger, 100, "c_custkey", resume.topic_of(F.col("path")))
 
 
+@_l.add("""
+    WITH first AS (SELECT c_custkey FROM customer ORDER BY c_custkey LIMIT 100)
+    SELECT c_custkey FROM first WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 0)""")
+def limit_before_some(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the first hundred topics some are left."""
+    ledger = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.concat(F.lit("forum/"), "o_custkey", F.lit("/"), "o_orderkey").alias("path"))
+    return resume.limit_before(table(spark, sf_dir, "customer").select("c_custkey"), ledger, 100, "c_custkey", resume.topic_of(F.col("path")))
+
+
 _PATH = "p_name || CASE WHEN p_size % 3 = 0 THEN '.NEF' WHEN p_size % 3 = 1 THEN '.jpg' ELSE '.dng' END"
 
 

@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.plans import bookkeeping, calibration, mosaics, series, texts
+from tilewright.plans import bookkeeping, calibration, mosaics, series, stores, texts
 
-_MODULES = (mosaics, texts, bookkeeping, calibration, series)
+_MODULES = (mosaics, texts, bookkeeping, calibration, series, stores)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}

@@ -99,6 +99,18 @@ def colour_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.colour_histogram(rows, "c")
 
 
+_ONE_HOT = ", ".join(f"round(list_sum(list_transform(range(64), lambda i: CASE WHEN ({_X})[((i // 8 + vec_id) % 6) * 6 + (i % 8) % 6 + 1] = {k} THEN embedding[i + 1]::DOUBLE ELSE 0 END)), 6) AS {c}" for k, c in enumerate(("red", "green", "blue")))
+
+
+@_l.add(f"SELECT vec_id, {_ONE_HOT} FROM embeddings")
+def one_hot_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sum of each colour's pixels: values weighed by the one-hot planes."""
+    found = mosaic.colours(mosaic.pattern_column(mosaic.XTRANS), SIDE, SIDE, (F.col("vec_id") % 6).cast("int"))
+    own = lambda k: F.zip_with("embedding", mosaic.one_hot(found, k), lambda v, w: v.cast("double") * w.cast("double"))
+    total = lambda k: r6(F.aggregate(own(k), F.lit(0.0), lambda s, v: s + v))
+    return table(spark, sf_dir, "embeddings").select("vec_id", total(0).alias("red"), total(1).alias("green"), total(2).alias("blue"))
+
+
 @_l.add("SELECT vec_id, 16.0::DOUBLE AS red, 32.0::DOUBLE AS green, 16.0::DOUBLE AS blue FROM embeddings")
 def one_hot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mosaic.colours(mosaic.three_colours(mosaic.pattern_column(((0, 1), (3, 2)))), SIDE, SIDE)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -26,3 +27,13 @@ def prepare(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(target))
         _shipped.add(context.applicationId)
     return spark
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that `spark.checkpoint.dir` names; without it only a local session has a place of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is unset: a cluster needs a folder that all executors see")
+        folder = "/tmp/checkpoints"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"

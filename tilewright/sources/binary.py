@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import json
-import struct
 import tarfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -84,34 +86,42 @@ def read_manifests(members: DataFrame) -> DataFrame:
     return members.where(F.col("name") == "manifest.json").select("bundle", parsed).select("bundle", "m.*")
 
 
+#: Fixed values of the TIFF layout: a directory's entry, the kind of text, the tags of make and model, and what is read of a file.
+_ENTRY = np.dtype([("tag", "u2"), ("kind", "u2"), ("n", "u4"), ("value", "u1", 4)])
+_TEXT, _MAKE_MODEL, _HEAD, _MOST_ENTRIES = 2, (0x010F, 0x0110), 1 << 16, 512
+
+
+def _first_text(raw: bytes) -> str:
+    """Up to the first zero, without space around."""
+    return raw.partition(b"\0")[0].decode("ascii", "replace").strip()
+
+
+def _directory(head: bytes, order: str) -> np.ndarray:
+    """The entries of the first directory, as many as are there whole."""
+    number = lambda form, at: int(np.frombuffer(head[at : at + np.dtype(form).itemsize].ljust(np.dtype(form).itemsize, b"\0"), order + form)[0])
+    start = number("u4", 4)
+    room = (len(head) - start - 2) // _ENTRY.itemsize
+    return np.frombuffer(head, _ENTRY.newbyteorder(order), min(number("u2", start), room, _MOST_ENTRIES), start + 2) if room > 0 else np.array([], _ENTRY)
+
+
 def tiff_camera(head: bytes | None) -> str | None:
     """Make and model in the first directory of a TIFF-like file, or a RAF file's own header; null if it has neither."""
-    head = (head or b"")[: 1 << 16]
-    text = lambda raw: raw.split(b"\0")[0].decode("ascii", "replace").strip()
-    if head.startswith(b"FUJIFILM"):
-        model = text(head[28:60])
-        return f"FUJIFILM {model}" if model else None
+    head = (head or b"")[:_HEAD]
+    if head[:8] == b"FUJIFILM":
+        model = _first_text(head[28:60])
+        return model and f"FUJIFILM {model}" or None
     order = {b"II": "<", b"MM": ">"}.get(head[:2])
-    if not order or len(head) < 8:
+    if order is None or len(head) < 8:
         return None
-    number = lambda form, at: struct.unpack_from(order + form, head, at)[0]
-    names: dict[int, str] = {}
-    try:
-        start = number("I", 4)
-        if start + 2 > len(head):
-            return None
-        for k in range(min(number("H", start), 512)):
-            at = start + 2 + 12 * k
-            if at + 12 > len(head):
-                break
-            tag, kind, n = struct.unpack_from(order + "HHI", head, at)
-            if kind == 2 and n and tag in (0x010F, 0x0110):
-                begin = at + 8 if n <= 4 else number("I", at + 8)
-                if begin + n <= len(head):
-                    names[tag] = text(head[begin : begin + n])
-    except struct.error:
-        return None
-    return " ".join(names[tag] for tag in (0x010F, 0x0110) if names.get(tag)) or None
+    entries = _directory(head, order)
+    found = {}
+    for entry in entries[(entries["kind"] == _TEXT) & (entries["n"] > 0) & np.isin(entries["tag"], _MAKE_MODEL)]:
+        n, inline = int(entry["n"]), entry["value"].tobytes()
+        at = int.from_bytes(inline, "little" if order == "<" else "big")
+        raw = inline[:n] if n <= len(inline) else head[at : at + n]
+        if len(raw) == n:
+            found[int(entry["tag"])] = _first_text(raw)
+    return " ".join(filter(None, map(found.get, _MAKE_MODEL))) or None
 
 
 @F.pandas_udf(StringType())
@@ -120,6 +130,62 @@ def camera_of(heads: pd.Series) -> pd.Series:
     return heads.map(tiff_camera)
 
 
+def write_file(path: str, content: bytes) -> None:
+    """Write one small file under another name first, then rename it."""
+    store, at = FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+    folder, name = at.rsplit("/", 1)
+    store.create_dir(folder, recursive=True)
+    part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    with store.open_output_stream(part) as out:
+        out.write(content)
+    store.move(part, at)
+
+
+def write_shards(shards: DataFrame, folder: str) -> DataFrame:
+    """Write one .npz a row to `folder`, each under another name first and then renamed, so that no reader sees half a file.
+
+    shards: source_path, tiles (array of oy, ox, pixels), tile_size, pattern,
+    pattern4, black_per_channel, white, wb, iso, camera. Returns name, size and
+    sha256; a task that is run again writes the same bytes.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples():
+                side = int(row.tile_size)
+                content = io.BytesIO()
+                np.savez_compressed(
+                    content, tiles=np.array([t["pixels"] for t in row.tiles], np.uint16).reshape(-1, side, side), offsets=np.array([(t["oy"], t["ox"]) for t in row.tiles], np.int32).reshape(-1, 2),
+                    pattern=np.array([list(x) for x in row.pattern]), pattern4=np.array([list(x) for x in row.pattern4]), black_per_channel=np.array(row.black_per_channel, np.float32),
+                    white=np.float32(row.white), wb=np.array(row.wb, np.float32), iso=np.int32(row.iso), camera=np.str_(row.camera), source_path=np.str_(row.source_path),
+                )
+                data = content.getvalue()
+                name = row.source_path.replace("/", "_") + ".npz"
+                write_file(f"{folder}/{name}", data)
+                rows.append((name, len(data), hashlib.sha256(data).hexdigest()))
+            yield pd.DataFrame(rows, columns=["name", "size", "sha256"])
+
+    return shards.mapInPandas(write, "name string, size long, sha256 string")
+
+
+def pack_bundle(members: list[tuple[str, bytes]], manifest: dict) -> bytes:
+    """A contribution archive: the manifest, then the shards by name."""
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:gz") as archive:
+        for name, content in [("manifest.json", json.dumps(manifest, sort_keys=True).encode()), *sorted(members)]:
+            info = tarfile.TarInfo(name)
+            info.size = len(content)
+            archive.addfile(info, io.BytesIO(content))
+    return out.getvalue()
+
+
+def restored(members: DataFrame) -> DataFrame:
+    """What restoring published archives one after another leaves: of a name in several, the last archive's."""
+    last = F.max_by(F.struct(*members.columns), F.struct("bundle")).alias("m")
+    return members.where(F.col("name") != "manifest.json").groupBy(F.col("name").alias("__name")).agg(last).select("m.*")
+
+
 def read_tensors(spark: SparkSession, path: str, magic: bytes, pattern: str = "*") -> DataFrame:
     """Tensors of weight files: 8 magic bytes, header length, JSON header (tensors: name, shape, offset, size), values."""
 

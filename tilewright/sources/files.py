@@ -65,6 +65,32 @@ def read_library(spark: SparkSession, url: str, table: str) -> DataFrame:
     return spark.read.format("jdbc").option("url", url).option("dbtable", table).load()
 
 
+def category_id(site: DataFrame, slug: str) -> int:
+    """The number of a category by its slug; site: categories (array of id and slug). An unknown one is an error."""
+    row = site.select(F.explode("categories").alias("c")).where(F.col("c.slug") == slug).select("c.id").first()
+    if row is None:
+        raise ValueError(f"no category {slug!r}")
+    return row[0]
+
+
+def listed_topics(pages: DataFrame) -> DataFrame:
+    """The topics of saved listing pages, in order: topic_id, title.
+
+    pages: page, topics (array of id and title), more_topics_url. Pages count up to
+    the first that is empty or names no further one.
+    """
+    last = F.when((F.size("topics") <= 0) | F.col("more_topics_url").isNull(), F.col("page"))
+    end = pages.agg(F.min(last).alias("__end"))  # one row
+    used = pages.join(F.broadcast(end), F.col("__end").isNull() | (F.col("page") <= F.col("__end")))
+    return used.select("page", F.posexplode("topics").alias("place", "t")).orderBy("page", "place").select(F.col("t.id").alias("topic_id"), F.col("t.title").alias("title"))
+
+
+def first_posts(topics: DataFrame) -> DataFrame:
+    """topic_id, cooked and author of saved topics (topic_id, posts: array of cooked and username); an unnamed author is '?'."""
+    post = F.get("posts", F.lit(0))
+    return topics.select("topic_id", post["cooked"].alias("cooked"), F.coalesce(post["username"], F.lit("?")).alias("author"))
+
+
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
     """Forum posts saved as JSON lines."""
     return spark.read.schema(schemas.TOPIC).json(path)

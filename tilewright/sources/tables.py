@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,5 +65,29 @@ def levels_from_cameras(cameras: DataFrame) -> DataFrame:
     )
 
 
-def write_levels(levels: DataFrame, path: str) -> None:
-    levels.orderBy("key", "variant_ix", "sensor_ix").write.mode("overwrite").parquet(path)
+def write_levels(levels: DataFrame, path: str, source: bytes | None = None) -> None:
+    """The table in order, with the SHA-1 of what it was made from."""
+    digest = F.lit(hashlib.sha1(source).hexdigest() if source is not None else None).cast("string").alias("source_sha1")
+    levels.select("*", digest).orderBy("key", "variant_ix", "sensor_ix").write.mode("overwrite").parquet(path)
+
+
+def refresh_profiles(spark: SparkSession, fresh: str, path: str, commit: str) -> int:
+    """Put the profile table at `fresh` in the place of the one at `path`, if it can be read and holds profiles.
+
+    It is loaded before anything is changed, then written under a name of its own;
+    the pointer file with that name and the upstream `commit` is what readers
+    follow, so a refresh that breaks off leaves the old table in force. Returns the rows.
+    """
+    rows = read_profiles(spark, fresh)
+    n = rows.count()
+    if not n or rows.where(F.col("iso").isNull() | (F.size("a") != 3) | (F.size("b") != 3)).limit(1).count():
+        raise ValueError(f"{fresh} holds no profiles, or broken ones")
+    place = f"{path}/{hashlib.sha1(commit.encode()).hexdigest()}"
+    rows.write.mode("overwrite").parquet(place)
+    spark.createDataFrame([(place, commit)], "place string, commit string").coalesce(1).write.mode("overwrite").json(f"{path}/current")
+    return n
+
+
+def current_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """The table in force of those that `refresh_profiles` has written."""
+    return spark.read.parquet(spark.read.json(f"{path}/current").first()["place"])
