@@ -92,8 +92,9 @@ class Ftrl:
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Learn `labels` (doc_id, quality 0 or 1) of rows that aren't held out from the texts of `docs`.
 
-    Null ids, null or other labels are left out; a repeated label counts each time,
-    and so does a repeated document. Without any label all weights are zero: every
+    Null ids, null or other labels are left out; a repeated label counts each time.
+    Of several texts under one id the least is learnt from, once, so that the sample
+    bounds the examples. Without any label all weights are zero: every
     score is 0.5. Texts become counts on the executors; the examples, in an order
     given by their ids' hashes and repeated per epoch, stream through one task; the
     driver gets the weights only.
@@ -125,7 +126,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
         yield pa.RecordBatch.from_arrays([pa.array([ftrl.weights(slice(None)).astype("<f4").tobytes()], pa.binary())], ["weights"])
 
     texts = common.doc_texts(docs)
-    examples = texts.join(F.broadcast(sample), texts["doc_id"] == sample["__id"]).select("text", "order", "y")
+    examples = texts.join(F.broadcast(sample), texts["doc_id"] == sample["__id"]).groupBy("__id", "order", "y").agg(F.min("text").alias("text"))
+    times = sample.groupBy("__id", "y").agg(F.count("*").cast("int").alias("times"))
+    examples = examples.join(F.broadcast(times), ["__id", "y"]).select("text", "order", "y", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time"))
     epochs = F.explode(F.array(*map(F.lit, range(settings.epochs)))).alias("epoch")
     row = (
         examples.mapInArrow(count, "order long, y int, at binary, x binary").select(epochs, "*")
@@ -150,8 +153,8 @@ def scorer(docs: DataFrame, model: Model):
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, settings: Settings = Settings()) -> DataFrame:
     """Score every text of `docs` (doc_id, text): doc_id, held_out, score, predicted.
 
-    predicted is 1 where score >= threshold. A text without words scores by the
-    bias alone. Rows stay as many as there are, repeated ones and null ids too.
+    predicted is 1 where score >= threshold. Null and empty texts, and texts without
+    words, score by the bias alone; texts of any length are scored whole. Rows stay as many as there are, repeated ones and null ids too.
     An empty table has no rows. Labels, language, source and ids are no inputs.
     """
     model = train(docs, labels, settings)
@@ -161,5 +164,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, settings: Settings = Settings()) -> DataFrame:
-    """The rows of `docs` that score `threshold` or more, with all their columns."""
+    """The rows of `docs` that score `threshold` or more, with all their columns.
+
+    Each row is judged by its text alone: null and repeated ids don't matter, and
+    repeated rows go or stay together. Null and empty texts score by the bias alone,
+    texts of any length are scored whole. An empty table has no rows.
+    """
+    common.small_batches(docs.sparkSession)
     return docs.where(scorer(docs, train(docs, labels, settings))("text") >= threshold)
