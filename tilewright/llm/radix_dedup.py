@@ -30,7 +30,7 @@ WINDOW, DIGIT = 50, 20
 SIDE = WINDOW - DIGIT
 
 #: Leading bits of a hash that make a part: at least, and at most; and bytes of text for which a part is meant.
-LEAST_BITS, MOST_BITS, PART_BYTES = 8, 16, 32 << 20
+LEAST_BITS, MOST_BITS, PART_BYTES = 8, 24, 32 << 20
 
 #: Bits of a hash kept beside the part's; equal values of different strings only cost time.
 KEPT_BITS = 40
@@ -130,7 +130,7 @@ def _anchors_of(batch_bytes: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 def _order(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A stable order by part, the parts, and where each begins and ends."""
-    order = np.argsort(parts.astype(np.uint16), kind="stable")
+    order = np.argsort(parts.astype(np.uint16 if parts.max(initial=0) < 1 << 16 else np.uint32), kind="stable")
     own, first = np.unique(parts[order], return_index=True)
     return order, own, np.append(first, len(parts))
 
@@ -475,8 +475,8 @@ def remove_repeats(docs: DataFrame, hot: int = HOT, held: int = BLOOM_BYTES) ->
     Null text is empty, and texts under 50 bytes keep all. A null doc_id counts as
     larger than any other. Of documents with the same text the one with the smallest
     id decides, the others lose everything; rows with the same doc_id don't affect
-    each other. Repeated rows stay. An empty table has no rows. Other columns are
-    ignored.
+    each other. Repeated rows stay. An empty table has no rows. Texts are taken
+    whole, up to 2 GB (places in a text are 32 bits). Other columns are ignored.
     """
     rows, done = repeated_runs(docs, hot, held)
     done = done.withColumnsRenamed({"tid": "__tid", "least": "__least"})
