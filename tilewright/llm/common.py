@@ -18,11 +18,14 @@ BROADCAST_ROWS = 4_000_000
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor sees; ``spark.checkpoint.dir`` names it.
 
-    Only where that is unset (tests, a laptop) a default is put in its place.
+    Only where that is unset and the session is a local one (tests, a laptop) a default is put in its place.
     """
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is unset: a cluster needs a folder that all executors see")
+        context.setCheckpointDir(folder or "/tmp/checkpoints")
     return context._jsc.sc().getCheckpointDir().get()
 
 
