@@ -76,7 +76,8 @@ def _hashes(data: np.ndarray) -> np.ndarray:
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the anchors of all windows inside the texts [start, end) of `data`.
 
-    At most 2**26 bytes at once. The leftmost of equal least hashes is taken.
+    At most 2**26 bytes at once. The leftmost of equal least hashes is taken. Least
+    hashes are small ones: they are mixed again, so that their leading bits make equal parts.
     """
     if len(data) < WINDOW:
         return np.array([], np.int64), np.array([], np.uint64)
@@ -96,7 +97,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     chosen = np.zeros(len(h), bool)
     chosen[(least[np.cumsum(inside[:-1]) > 0] & place).astype(np.int64)] = True
     at = np.flatnonzero(chosen)
-    return at, h[at]
+    return at, h[at] * _C[1]
 
 
 def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
