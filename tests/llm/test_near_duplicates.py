@@ -218,3 +218,21 @@ def test_equal_hashes_of_different_bytes():
     rows["bytes"][1, 5] = 1
     later = radix_dedup._earlier(np.zeros(3, np.uint64), rows, slice(0, 80))
     assert later.tolist() == [False, False, True]
+
+
+def test_single_windows_keep_the_least_id():
+    rng = np.random.default_rng(3)
+    rows = np.zeros(40, radix_dedup.RECORD)
+    rows["mark"], rows["left"], rows["right"] = 9, radix_dedup.SIDE, radix_dedup.SIDE
+    rows["least"] = rng.permutation(40) // 2  # two places each
+    rows["bytes"] = rng.integers(97, 99, 80)
+    rows["bytes"][20:, 5] = 100  # windows with 25 bytes or more before the anchor differ between the halves
+    rest, keys, low, high = radix_dedup.single_windows(rows)
+    assert len(rest) == len(keys)
+    for before in range(radix_dedup.SIDE + 1):
+        halves = [rows[:20], rows[20:]] if before >= 25 else [rows]
+        expected = sorted(int(x) for half in halves for x in half["least"][half["least"] == half["least"].min()])
+        assert sorted(rest["least"][rest["low"] == before].tolist()) == expected
+    assert ((rest["low"] == rest["high"]).all() and (high[rows["least"] > rows["least"][:20].min()] >= 0).any())
+    assert (high[rows["least"] == rows["least"].min()] == -1).all()
+    assert radix_dedup.single_windows(rows[:0])[0].size == 0

@@ -301,6 +301,29 @@ def repeated(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, high
 
 
+def single_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows cut into one for each window, without those that an earlier text among `rows` settles.
+
+    Returns (the others, the hashes of their windows, and for each of `rows` the least
+    and the most bytes before its anchor with which a window is settled; none: 99, -1).
+    Of a window's rows those of the least id stay, so it is still known to the others.
+    """
+    left, right = _sides(rows)
+    low, high = np.full(len(rows), 99), np.full(len(rows), -1)
+    each, keys = [], []
+    for before in range(SIDE + 1):
+        ok = np.flatnonzero((rows["left"] >= before) & (rows["right"] >= SIDE - before))
+        key = _mixed(rows["mark"][ok], left[before][ok], right[SIDE - before][ok])
+        later = _earlier(key, rows[ok], slice(SIDE - before, SIDE - before + WINDOW))
+        hit = ok[later]
+        low[hit], high[hit] = np.minimum(low[hit], before), before
+        one = rows[ok[~later]]
+        one["low"] = one["high"] = before
+        each.append(one)
+        keys.append(key[~later])
+    return np.concatenate(each), np.concatenate(keys), low, high
+
+
 def _runs(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Table:
     hit = high >= 0
     start = rows["at"][hit].astype(np.int64) - high[hit]
@@ -312,9 +335,9 @@ def second_pass(texts: DataFrame, blocks: Blocks, bits: int) -> DataFrame:
     """Runs (tid, least, run = start << 32 | end) of repeated bytes, for the anchors that `blocks` keeps.
 
     texts: tid, least (its row's id), raw. A hot anchor's windows are dealt out each
-    by its own hash, so that no part has to hold all texts with it. Rows that a
-    batch settles by itself don't move. A value that survived by chance has no
-    equal and gives no run.
+    by its own hash, so that no part has to hold all texts with it, and of those that
+    a task has gathered only the ones of the least id move. Rows that a batch settles
+    by itself don't move. A value that survived by chance has no equal and gives no run.
     """
     kept = np.uint64(64 - bits - KEPT_BITS)
     shared = texts.sparkSession.sparkContext.broadcast(blocks)
@@ -352,17 +375,11 @@ def second_pass(texts: DataFrame, blocks: Blocks, bits: int) -> DataFrame:
         plain, wide = rows[~done & ~hot], rows[~done & hot]
         del rows
         yield packed(plain, plain["mark"] >> np.uint64(KEPT_BITS))
-        for begin in range(0, len(wide), 1 << 14):
-            some = wide[begin : begin + (1 << 14)]
-            left, right = _sides(some)
-            each, routes = [], []
-            for before in range(SIDE + 1):
-                ok = (some["left"] >= before) & (some["right"] >= SIDE - before)
-                one = some[ok]
-                one["low"] = one["high"] = before
-                each.append(one)
-                routes.append(_mixed(one["mark"], left[before][ok], right[SIDE - before][ok]) >> np.uint64(64 - bits))
-            yield packed(np.concatenate(each), np.concatenate(routes))
+        wide = wide[np.argsort(wide["mark"], kind="stable")]
+        for begin in range(0, len(wide), 1 << 13):
+            left_over, keys, low, high = single_windows(wide[begin : begin + (1 << 13)])
+            settled = pa.concat_tables([settled, _runs(wide[begin : begin + (1 << 13)], low, high)])
+            yield packed(left_over, keys >> np.uint64(64 - bits))
         if settled.num_rows:
             # settled runs ride along, spread over the parts
             spread = pa.array((np.arange(settled.num_rows) % (1 << bits)).astype(np.int32))
