@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm import common
+from tilewright.llm import common, sieve
 
 WINDOW, DIGIT = 50, 20
 SIDE = WINDOW - DIGIT
@@ -449,9 +449,9 @@ def repeated_runs(docs: DataFrame, hot: int = HOT, held: int = BLOOM_BYTES) -> t
     texts = common.doc_texts(docs).withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("tid", F.xxhash64("text")).withColumn("raw", F.col("text").cast("binary"))
     rows = texts.select("id", "doc_id", F.unhex(F.sha2("text", 256)).alias("sha"), F.col("tid").alias("quick"), F.octet_length("text").cast("long").alias("n_bytes"))
     rows = common.saved(rows)
-    owners = rows.groupBy("sha").agg(F.min("id").alias("least")).withColumnRenamed("sha", "__sha")
-    rows = common.saved(rows.join(owners, rows["sha"] == F.col("__sha")).drop("__sha"))
-    total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    n_rows, total = rows.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    owners = common.saved(rows.groupBy("sha").agg(F.min("id").alias("least"), F.count("*").alias("__n")))
+    rows = common.saved(sieve.joined(rows, owners, "sha", n_rows))
     bits = min(MOST_BITS, max(LEAST_BITS, (total // PART_BYTES).bit_length()))
 
     long = texts.where(F.octet_length("text") >= WINDOW).select("tid", F.col("id").alias("least"), "raw")
@@ -498,13 +498,16 @@ def remove_repeats(docs: DataFrame, hot: int = HOT, held: int = BLOOM_BYTES) ->
     """
     rows, done = repeated_runs(docs, hot, held)
     done = done.withColumnsRenamed({"tid": "__tid", "least": "__least"})
-    joined = rows.join(done, (rows["quick"] == done["__tid"]) & (rows["least"] == done["__least"]), "left")
-    copy = (F.col("id") > F.col("least")) & (F.col("n_bytes") >= WINDOW)
-    zero = F.lit(0).cast("long")
-    return joined.select(
+    copy, zero = (F.col("id") > F.col("least")) & (F.col("n_bytes") >= WINDOW), F.lit(0).cast("long")
+    # copies need no fact: only rows of least ids move to theirs
+    own = rows.where(~copy)
+    own = own.join(done, (own["quick"] == done["__tid"]) & (own["least"] == done["__least"]), "left").select(
         "doc_id",
         "n_bytes",
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
-        F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", zero)).cast("long").alias("n_spans"),
-        F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
+        F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"),
+        F.coalesce("kept_sha256", F.lower(F.hex("sha"))).alias("kept_sha256"),
     )
+    empty = hashlib.sha256(b"").hexdigest()
+    gone = rows.where(copy).select("doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(empty).alias("kept_sha256"))
+    return own.unionByName(gone)
