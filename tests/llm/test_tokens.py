@@ -119,3 +119,12 @@ def test_orc(spark, frame, tmp_path):
 def test_empty(frame):
     assert packing.pack_documents(frame([])).collect() == []
     assert orc_tokens.token_files(frame([])).collect() == []
+
+
+def test_a_small_memory_gives_the_same_ids():
+    path = tokens.default_path()
+    small, large = tokens.Encoder(path, 2), tokens.Encoder(path)
+    for text in ("one two, three four. five two", "six two, seven  eight\n nine one"):
+        for _ in range(2):
+            assert small(text) == large(text)
+    assert len(small.parts) <= 2 and len(small.words) <= 2

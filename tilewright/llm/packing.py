@@ -69,11 +69,10 @@ def plan_slots(counts: dict[int, int], capacity: int) -> list[tuple[int, int, in
     return rows
 
 
-def token_pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int) -> DataFrame:
+def token_pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int, remembered: int | None = None) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece; ids stay in the task."""
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = tokens.encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        ids_of, end = tokens.encoder(tokenizer, remembered), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows, pieces, starts, lengths, sums = [], [], [], [], []
             for row, text in enumerate(batch["text"]):
@@ -111,7 +110,7 @@ def ranked(pieces: DataFrame, parts: int = RANK_PARTS) -> DataFrame:
     return dealt.withColumn("__own", F.row_number().over(own) - 1).join(F.broadcast(first), ["length", "__part"]).withColumn("__rank", F.col("__first") + F.col("__own"))
 
 
-def pack_documents(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2, remembered: int | None = None) -> DataFrame:
     """Pack every document of `docs` (doc_id, text) into sequences of at most `capacity` tokens.
 
     A document is its ids and `end_id`. Longer ones are cut into pieces of
@@ -126,9 +125,11 @@ def pack_documents(docs: DataFrame, capacity: int = 1024, tokenizer: str | None
 
     Texts are read and encoded once, without a shuffle; what moves is a narrow row
     per piece. The histogram and the plan depend on `capacity`, not on the data.
+    `remembered` bounds the words and the parts that a worker keeps ids of (some 200
+    bytes each); it costs time, never rows or ids.
     """
     spark = docs.sparkSession
-    pieces = common.saved(token_pieces(docs, capacity, tokenizer or tokens.default_path(), end_id))
+    pieces = common.saved(token_pieces(docs, capacity, tokenizer or tokens.default_path(), end_id, remembered))
     counts = {row[0]: row[1] for row in pieces.groupBy("length").count().collect()}
     plan = spark.createDataFrame(
         plan_slots(counts, capacity), "__length long, __from long, __to long, __sequence long, __copies long, __offset long"

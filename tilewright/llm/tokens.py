@@ -30,7 +30,8 @@ class Encoder:
     No special tokens are added; where a text holds an added token's string, that token stands there.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
+        self.most_parts, self.most_words = (MOST_PARTS, MOST_WORDS) if remembered is None else (remembered, remembered)
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [token.content for token in added]
@@ -79,13 +80,13 @@ class Encoder:
         for part, (word, end) in shaped.items():
             if end not in self.ends:
                 ids = self._plain(end)
-                if len(self.ends) < MOST_PARTS:
+                if len(self.ends) < self.most_parts:
                     self.ends[end] = ids
             else:
                 ids = self.ends[end]
             out[part] = words[word] + ids
         for part, ids in out.items():
-            if len(self.parts) >= MOST_PARTS:
+            if len(self.parts) >= self.most_parts:
                 break
             if 0 < len(part) <= LONGEST and not part[0].isspace():  # such parts always tell where a text was cut wrongly
                 self.parts[part] = ids
@@ -100,14 +101,14 @@ class Encoder:
             edges = np.searchsorted(at, np.arange(len(new) + 1))
             for k, word in enumerate(new):
                 out[word] = ids[edges[k] : edges[k + 1]].tobytes()
-                if len(self.words) < MOST_WORDS:
+                if len(self.words) < self.most_words:
                     self.words[word] = out[word]
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process: its memory outlives a task."""
-    return memory.held(f"encoder {path}", lambda: Encoder(path))
+def encoder(path: str, remembered: int | None = None) -> Encoder:
+    """One encoder per worker process: its memory, of `remembered` entries each at most, outlives a task."""
+    return memory.held(f"encoder {path} {remembered}", lambda: Encoder(path, remembered))
 
 
 def default_path() -> str:
