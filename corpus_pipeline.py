@@ -14,6 +14,10 @@ from tilewright.llm import common, near_copies, packing, quality, secrets, tilin
 from tilewright.runtime import prepare
 
 
+#: Words and parts that a worker keeps token ids of while packing: earlier stages have left less room than operator 4 alone has.
+REMEMBERED = 60_000
+
+
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents that score under the threshold go."""
     return quality.keep_good(docs, prepare(spark).read.parquet(f"{sf_dir}/labels.parquet"))
@@ -39,7 +43,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: where each piece of each document goes."""
     prepare(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
