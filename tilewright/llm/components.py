@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from tilewright.llm import common
 
+#: Links in a partition of a round's checkpoint: few links make few files, in the checkpoint and in the shuffles that read it.
+PART_LINKS = 200_000
+
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Links (u, v), u > v. Large: larger neighbours of u go to u's minimum. Small: u and its smaller ones do."""
@@ -35,8 +38,9 @@ def components(links: DataFrame, rounds: int = 64) -> DataFrame:
     ids = given.select(F.col("u").alias("id")).unionByName(given.select(F.col("v").alias("id"))).distinct()
     now = given.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now, state = common.saved(now), None
+    parts = now.count() // PART_LINKS + 1  # links never grow in number
     for _ in range(rounds):
-        now = common.saved(_star(common.saved(_star(now, large=True)), large=False))
+        now = common.saved(_star(common.saved(_star(now.coalesce(parts), large=True).coalesce(parts)), large=False).coalesce(parts))
         new = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if new == state:
             break
