@@ -3,7 +3,10 @@
 SimHash with few bits is too narrow for that: such pairs are up to 14 bits apart,
 and no ball of that radius can be listed. So texts meet by bands of a MinHash
 signature (a pair at 0.8 misses all bands once in four million), what meets is
-gathered, and each gathered group is compared exactly by its shingles.
+gathered, and each gathered group is compared exactly by its shingles. A large group
+is cut into parts: each is compared within itself and with a few hubs of the group,
+which links nearly all of a group of near copies; only members that this leaves
+apart from others they share a band with go to the other parts.
 """
 
 from __future__ import annotations
@@ -24,8 +27,9 @@ WORDS, SIMILARITY = 5, 0.8
 #: Bands of a signature and values in a band.
 BANDS, ROWS = 50, 6
 
-#: Members of a group that one task compares with each other; larger groups are dealt out by pairs of blocks.
-BLOCK = 1_024
+#: Members of a group that one task compares with each other, all at once; larger groups are cut into parts of that
+#: size, and up to HUBS members that share bands with most others are compared with every part.
+BLOCK, HUBS = 1_024, 16
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(11)
@@ -61,10 +65,12 @@ def bands(own: np.ndarray, block: int = 2_048) -> list[int]:
     return [xxhash.xxh64_intdigest(values[k].tobytes(), k) - 2**63 for k in range(BANDS)]
 
 
-def similar(sets: list[np.ndarray], part: np.ndarray, low: int, high: int, least: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Links whose components are those of all pairs with a Jaccard similarity of `least` or more, one of block `low`, one of `high`.
+def similar(sets: list[np.ndarray], groups: np.ndarray, apart: np.ndarray, least: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Links whose components, joined with `groups`, are those of all pairs with a Jaccard similarity of `least` or more.
 
-    Of two such sets, the rarest shingles, all but `least` of each, have one in common.
+    groups: a number for each set; those with the same number are known to be linked.
+    Only pairs with a set that `apart` marks are looked at. Of two such sets, the
+    rarest shingles, all but `least` of each, have one in common.
     """
     sizes = np.array([len(own) for own in sets])
     names, code, n = np.unique(np.concatenate([*sets, np.array([], np.uint64)]), return_inverse=True, return_counts=True)
@@ -72,7 +78,7 @@ def similar(sets: list[np.ndarray], part: np.ndarray, low: int, high: int, least
     rank[np.argsort(n, kind="stable")] = np.arange(len(names))
     ranked = [np.sort(own) for own in np.split(rank[code], np.cumsum(sizes)[:-1])]
     seen: dict[int, list[int]] = {}
-    root, marked, out = np.arange(len(sets)), np.zeros(len(names), bool), []
+    root, marked, out = groups.copy(), np.zeros(len(names), bool), []
     for i, own in enumerate(ranked):
         met: set[int] = set()
         for name in own[: len(own) - ceil(least * len(own) - 1e-9) + 1].tolist():
@@ -80,7 +86,7 @@ def similar(sets: list[np.ndarray], part: np.ndarray, low: int, high: int, least
             met.update(before)
             before.append(i)
         near = np.array(sorted(met), np.int64)
-        near = near[(np.minimum(part[near], part[i]) == low) & (np.maximum(part[near], part[i]) == high)]
+        near = near[apart[near] | apart[i]]
         near = near[np.minimum(sizes[near], len(own)) >= least * np.maximum(sizes[near], len(own)) - 1e-9]
         near = near[root[near] != root[i]]
         marked[own] = True
@@ -101,39 +107,69 @@ def _keys(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"__t1": F.xxhash64(text), "__t2": F.xxhash64(F.lit(1), text)})
 
 
-def _similar_links(docs: DataFrame, distinct: DataFrame, block: int) -> DataFrame:
-    """Links (u, v) of `distinct` (id, t1, t2, bands), whose texts stand in `docs`, by their shingles."""
-    met = distinct.select("id", F.explode("bands").alias("band"))
-    shared = common.saved(met.groupBy("band").agg(F.min("id").alias("v"), F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("__band"), "v"))
-    stars = met.join(shared, met["band"] == shared["__band"]).select(F.col("id").alias("u"), "v").distinct()
-    group = common.saved(components.components(stars))
-    parts = group.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    member = distinct.select("id", "t1", "t2").join(group, "id").join(parts, "component").select("id", "component", "parts", F.col("t1").alias("__m1"), F.col("t2").alias("__m2"))
-    member = common.saved(member)
+def _compared(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links (u, v) that `similar` finds among the rows of `placed` with the same (component, part).
+
+    placed: id, component, part, root, apart, and the hashes __m1 and __m2 of a text of `docs`; stored.
+    """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = pa.array([shingles(text.as_py()).tobytes() for text in batch["text"]], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["component"], batch["parts"], own], ["id", "component", "parts", "own"])
-
-    texts = _keys(docs.select(F.coalesce("text", F.lit("")).alias("text")))
-    texts = texts.where(sieve.may_be(docs, sieve.sieve(member, "__m1", "__m2"), "__t1", "__t2"))
-    texts = texts.join(member, (texts["__t1"] == member["__m1"]) & (texts["__t2"] == member["__m2"])).select("id", "component", "parts", "text")
-    dealt = (
-        texts.mapInArrow(sets, "id long, component long, parts int, own binary").groupBy("id", "component", "parts").agg(F.first("own").alias("own"))
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("id", "component", "own", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
-    )
+            yield pa.RecordBatch.from_arrays([batch["t1"], batch["t2"], own], ["t1", "t2", "own"])
 
     def link(table: pa.Table) -> pa.Table:
         ids = table["id"].to_numpy()
         own = [np.frombuffer(own.as_py(), np.uint64) for own in table["own"]]
-        found = similar(own, table["part"].to_numpy(), table["low"][0].as_py(), table["high"][0].as_py())
+        groups = np.unique(table["root"].to_numpy(), return_inverse=True)[1]
+        found = similar(own, groups, table["apart"].to_numpy(zero_copy_only=False))
         at = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"u": ids[at[:, 0]], "v": ids[at[:, 1]]})
 
-    return dealt.groupBy("component", "low", "high").applyInArrow(link, "u long, v long")
+    # a row a text, so that copies of a text become one set before sets are dealt out
+    one = placed.groupBy("__m1", "__m2").agg(F.collect_list(F.struct("id", "component", "part", "root", "apart")).alias("places"))
+    texts = _keys(docs.select(F.coalesce("text", F.lit("")).alias("text")))
+    texts = texts.where(sieve.may_be(docs, sieve.sieve(placed, "__m1", "__m2"), "__t1", "__t2"))
+    texts = texts.select(F.col("__t1").alias("t1"), F.col("__t2").alias("t2"), "text").mapInArrow(sets, "t1 long, t2 long, own binary")
+    texts = texts.groupBy("t1", "t2").agg(F.first("own").alias("own"))
+    dealt = texts.join(one, (texts["t1"] == one["__m1"]) & (texts["t2"] == one["__m2"])).select(F.explode("places").alias("p"), "own").select("p.*", "own")
+    return dealt.groupBy("component", "part").applyInArrow(link, "u long, v long")
+
+
+def _similar_links(docs: DataFrame, distinct: DataFrame, block: int) -> DataFrame:
+    """Links (u, v) of `distinct` (id, t1, t2, bands), whose texts stand in `docs`, by their shingles."""
+    met = distinct.select("id", F.explode("bands").alias("band"))
+    shared = common.saved(met.groupBy("band").agg(F.min("id").alias("v"), F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("__band"), "v", "n"))
+    stars = met.join(shared, met["band"] == shared["__band"]).select(F.col("id").alias("u"), "v").distinct()
+    group = common.saved(components.components(stars))
+    parts = group.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    member = distinct.select("id", F.col("t1").alias("__m1"), F.col("t2").alias("__m2")).join(group, "id").join(parts, "component")
+    member = common.saved(member.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
+
+    # hubs: of each group's first members by band, those of the fullest bands
+    hubs = shared.join(member.where("parts > 1"), F.col("v") == F.col("id")).groupBy("component", F.pmod(F.xxhash64("v"), F.lit(HUBS))).agg(F.max_by("v", "n").alias("__hub"))
+    placed = member.join(hubs.select("__hub"), F.col("id") == F.col("__hub"), "left")
+    everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
+    columns = ["id", "component", "part", "root", "apart", "__m1", "__m2"]
+    placed = placed.withColumn("part", F.explode(F.when(F.col("__hub").isNull(), F.array("part")).otherwise(everywhere)))
+    placed = common.saved(placed.withColumns({"root": F.col("id"), "apart": F.lit(True)}).select(columns))
+    near = common.saved(_compared(docs, placed))
+
+    # members of large groups that share a band with one they aren't linked to yet
+    large = member.where("parts > 1")
+    known = components.components(near).select(F.col("id").alias("__id"), F.col("component").alias("__root"))
+    large = common.saved(large.join(known, F.col("id") == F.col("__id"), "left").withColumn("root", F.coalesce("__root", "id")).drop("__id", "__root"))
+    met = met.join(large.select(F.col("id").alias("__id"), "root"), F.col("id") == F.col("__id"))
+    mixed = met.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(F.col("band").alias("__band"))
+    open_ids = met.join(mixed, met["band"] == mixed["__band"]).select("__id").distinct()
+    open_rows = common.saved(large.join(open_ids, F.col("id") == F.col("__id"), "left_semi"))
+    if open_rows.isEmpty():
+        return near
+    most = open_rows.groupBy("component", "root").count().groupBy("component").agg(F.max_by("root", F.struct("count", "root")).alias("__most"))
+    most = most.withColumnRenamed("component", "__component")
+    placed = open_rows.join(most, F.col("component") == F.col("__component")).withColumn("apart", F.col("root") != F.col("__most"))
+    placed = placed.withColumn("part", F.explode(F.when(F.col("apart"), everywhere).otherwise(F.array("part")))).select(columns)
+    return near.unionByName(_compared(docs, common.saved(placed)))
 
 
 def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
