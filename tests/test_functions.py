@@ -59,6 +59,16 @@ def test_license_as_sql_has_it(spark, html):
     assert one(spark, text.detect_license(F.col("c0")), html) == con.execute(texts.ORACLE_SQL["detect_license"]).fetchone()[1]
 
 
+def test_license_gate_as_sql_has_it(spark, tmp_path):
+    # page 3 of 6 says Creative Commons, Share-Alike; the words that follow decide about -nc
+    pages = [(3, "canci\u00f3nc"), (9, "nc\u00e9"), (15, "nca"), (21, "\u4e2dnc"), (27, "NC."), (33, None), (1, ""), (5, "creative\x0bcommons"), (11, "\u00e9cc0")]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    own = texts.license_gate(spark, str(tmp_path)).select("page_id", "allowed").collect()
+    assert sorted(map(tuple, own)) == sorted(con.execute(texts.ORACLE_SQL["license_gate"]).fetchall())
+
+
 def test_links(spark):
     html = """<p><a class="x" href="one.CR2">1</a> <a href="//cdn.site/two.rw2?v=3">2</a> <a href='three.nef'> <a href="/p/four.png"><a href="sub/five.dng"><a href="one.CR2"> <a href="six.X3F">"""
     found = one(spark, text.raw_links(F.col("c0"), F.lit("https://board.site/topic/77/")), html)
