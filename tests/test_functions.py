@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tilewright import schemas
 from tilewright.functions import hashing, maths, mosaic, text
 from tilewright.operators import folds, gates, library, lookup, noise, packing, resume
-from tilewright.plans import texts
+from tilewright.plans import calibration, texts
 from tilewright.sources import binary, files, tables
 from tilewright.streaming import ledger as ledger_stream
 
@@ -335,3 +335,17 @@ def test_ledgered_stream(spark, tmp_path):
     assert files.read_ledger(spark, ledger).count() == 2
     run(2, retry=True)
     assert files.read_ledger(spark, ledger).count() == 3
+
+
+def test_holdout_of_all_cameras(spark):
+    parts = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "camera string, k int")
+    assert gates.without_holdout(parts, parts, required=False).count() == 0
+    assert [r.k for r in gates.without_holdout(parts, parts.where("k = 3"), required=False).collect()] == [1]
+    with pytest.raises(ValueError):
+        gates.without_holdout(parts, parts)
+
+
+def test_holdout_query_without_cameras_left(spark, tmp_path):
+    spark.createDataFrame([(50, "a"), (1, "a"), (100, "b")], "p_partkey long, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    found = calibration.holdout(spark, str(tmp_path))
+    assert found.columns == ["p_brand", "n"] and found.collect() == []

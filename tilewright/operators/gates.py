@@ -123,9 +123,10 @@ def one_tile_size(shards: DataFrame, n_tiles: str = "n_tiles", tile_size: str =
     return filled
 
 
-def without_holdout(profiles: DataFrame, holdout: DataFrame, camera: str = "camera") -> DataFrame:
-    """Profiles of cameras that aren't held out; raises if none is left."""
-    return require_count(profiles.join(holdout.select(camera).distinct(), camera, "left_anti"), what="cameras left after the holdout")
+def without_holdout(profiles: DataFrame, holdout: DataFrame, camera: str = "camera", required: bool = True) -> DataFrame:
+    """Profiles of cameras that aren't held out; if `required`, none left is an error."""
+    kept = profiles.join(holdout.select(camera).distinct(), camera, "left_anti")
+    return require_count(kept, what="cameras left after the holdout") if required else kept
 
 
 def split_rows(rows: DataFrame, split: str, camera: str = "camera", buckets: int = 10, required: bool = False) -> DataFrame:
