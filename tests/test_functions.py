@@ -349,3 +349,27 @@ def test_holdout_query_without_cameras_left(spark, tmp_path):
     spark.createDataFrame([(50, "a"), (1, "a"), (100, "b")], "p_partkey long, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
     found = calibration.holdout(spark, str(tmp_path))
     assert found.columns == ["p_brand", "n"] and found.collect() == []
+
+
+def _rows_joined(plan):
+    metric = plan.metrics().get("numOutputRows")
+    own = [metric.get().value()] if "Join" in plan.nodeName() and metric.isDefined() else []
+    children = plan.children()
+    return own + [n for k in range(children.size()) for n in _rows_joined(children.apply(k))]
+
+
+def test_first_candidate_meets_one_row_of_a_match(spark):
+    asked = spark.range(500).select("id", F.array(F.concat(F.lit("own"), F.col("id")), F.lit("same")).alias("tries"))
+    own = spark.createDataFrame([(9, "own3"), (7, "own3")], "n long, path string")
+    known = spark.range(1000, 1400).select(F.col("id").alias("n"), F.lit("same").alias("path")).unionByName(own)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found, left = lookup.first_candidate(asked, known, "id", "tries", "path")
+        rows = {r.id: (r.n, r.path) for r in found.collect()}
+        met = _rows_joined(found._jdf.queryExecution().executedPlan())
+        assert left.count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert rows == {k: (7, "own3") if k == 3 else (1000, "same") for k in range(500)}
+    assert 500 <= max(met) <= 1000

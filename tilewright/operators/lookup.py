@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.functions import text
@@ -127,9 +127,15 @@ def tiles_with_shards(tiles: DataFrame, shards: DataFrame, n_black: int = 3) ->
 
 
 def first_candidate(asked: DataFrame, known: DataFrame, key: str, candidates: str, match: str) -> tuple[DataFrame, DataFrame]:
-    """(found, left over): each row of `asked` with the row of `known` that its earliest candidate (an array) matches."""
+    """(found, left over): each row of `asked` with the row of `known` that its earliest candidate (an array) matches.
+
+    Of several rows with that match the one with the least first other column counts;
+    the others go before the join, or a match that many rows have would meet each of
+    the rows that ask for it.
+    """
+    order = F.struct(match, *[c for c in known.columns if c != match][:1])
+    one = known.where(F.col(match).isNotNull()).groupBy(F.col(match).alias("__match")).agg(F.min_by(F.struct(*known.columns), order).alias("__known"))
     tried = asked.select(F.col(key), F.posexplode(candidates).alias("__place", "__candidate"))
-    hits = tried.join(known, tried["__candidate"] == known[match])
-    order = Window.partitionBy(key).orderBy("__place", *[c for c in known.columns if c != match][:1])
-    found = hits.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank", "__place", "__candidate")
+    hits = tried.join(one, tried["__candidate"] == one["__match"])
+    found = hits.groupBy(key).agg(F.min_by("__known", "__place").alias("__known")).select(key, "__known.*")
     return found, asked.join(found.select(key), key, "left_anti")
