@@ -35,8 +35,12 @@ LEAST_BITS, MOST_BITS, PART_BYTES = 8, 24, 32 << 20
 #: Bits of a hash kept beside the part's; equal values of different strings only cost time.
 KEPT_BITS = 40
 
-#: Texts with an anchor from which on its windows are dealt out one by one.
-HOT = 4_096
+#: Texts with an anchor from which on its windows are dealt out in two halves, and with a half from which on they are
+#: dealt out one by one. Windows with HALF bytes or more before the anchor share those, the others what follows it.
+HOT, HALF = 4_096, SIDE // 2
+
+#: Packing of the second pass's rows, beside which Spark's own finds little.
+CODEC = "zstd"
 
 #: Bits and hashes per surviving value in the Bloom blocks that the second reading looks anchors up in, and
 #: bytes of blocks that it holds at once: beyond that it reads in turns, each with the blocks of some parts.
@@ -226,6 +230,29 @@ def first_pass(texts: DataFrame, bits: int, hot: int = HOT) -> DataFrame:
     return dealt.groupBy("part").applyInArrow(keep, "part int, block binary, hot binary")
 
 
+def _near(batch: pa.RecordBatch, blocks: Blocks, kept: np.uint64, hot_only: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """RECORDs of a batch's anchors that may have survived, and which of them are hot; slice by slice."""
+    tids, leasts = batch["tid"].to_numpy(), batch["least"].to_numpy()
+    for row, at, h, data, offsets in _anchors_of(batch["raw"]):
+        mark = h >> kept
+        near = blocks.keeps(mark)
+        hot = np.isin(mark[near], blocks.hot)
+        if hot_only:
+            near, hot = near[hot], hot[hot]
+        if not len(near):
+            continue
+        row, at, mark = row[near], at[near], mark[near]
+        out = np.zeros(len(near), RECORD)
+        out["mark"], out["tid"], out["least"], out["at"] = mark, tids[row], leasts[row], at - offsets[row]
+        out["left"] = np.minimum(SIDE, at - offsets[row])
+        out["right"] = np.minimum(SIDE, offsets[row + 1] - at - DIGIT)
+        out["high"] = SIDE
+        around = at[:, None] + np.arange(-SIDE, DIGIT + SIDE)
+        there = (around >= offsets[row][:, None]) & (around < offsets[row + 1][:, None])
+        out["bytes"] = np.where(there, data[np.clip(around, 0, len(data) - 1)], 0)
+        yield out, hot
+
+
 def _mixed(mark: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     h = (mark * _C[0] + left) * _C[1] + right * _C[2]
     h ^= h >> np.uint64(29)
@@ -301,8 +328,62 @@ def repeated(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, high
 
 
-def single_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows cut into one for each window, without those that an earlier text among `rows` settles.
+def halves(rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int, int]]:
+    """The rows that have windows of either half: (rows, hashes of what these windows share, least and most bytes before the anchor).
+
+    Windows are the same only if their half's hashes are, so a half is dealt out by
+    it: two rows stand for all 31 windows. Bytes of no window of the half are zero.
+    """
+    left, right = np.zeros(len(rows), np.uint64), np.ones(len(rows), np.uint64)
+    for k, (a, b) in enumerate(_growing(rows)):
+        left, right = (a if k == HALF else left), (b if k == SIDE - HALF + 1 else right)
+    before, after = rows[rows["left"] >= HALF], rows[rows["right"] > SIDE - HALF]
+    out = [(before, _mixed(before["mark"], left[rows["left"] >= HALF], np.uint64(0)), HALF, SIDE), (after, _mixed(after["mark"], np.uint64(0), right[rows["right"] > SIDE - HALF]), 0, HALF - 1)]
+    for own, _, low, high in out:
+        own["low"], own["high"] = low, high
+        own["bytes"][:, : SIDE - high] = 0
+        own["bytes"][:, SIDE - low + WINDOW :] = 0
+    return out
+
+
+def hot_halves(texts: DataFrame, blocks: Blocks, bits: int, hot: int) -> np.ndarray:
+    """Hashes of the halves of hot anchors that stand `hot` times or more; all texts are read for it."""
+    if not len(blocks.hot):
+        return np.array([], np.uint64)
+    kept = np.uint64(64 - bits - KEPT_BITS)
+    shared = texts.sparkSession.sparkContext.broadcast(blocks)
+
+    def counted(keys: list[np.ndarray]) -> pa.RecordBatch:
+        own, n = np.unique(np.concatenate(keys), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n.astype(np.int64))], ["half", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, n = [], 0
+        for batch in batches:
+            for rows, _ in _near(batch, shared.value, kept, True):
+                keys += [half[1] for half in halves(rows)]
+                n += len(rows)
+                if n >= GATHERED:
+                    yield counted(keys)
+                    keys, n = [], 0
+        if keys:
+            yield counted(keys)
+
+    found = texts.mapInArrow(count, "half long, n long").groupBy("half").agg(F.sum("n").alias("n")).where(F.col("n") >= hot).select("half").toArrow()
+    return found["half"].to_numpy().view(np.uint64)
+
+
+def _pack(rows: np.ndarray) -> bytes:
+    """Rows as packed bytes, their number before them."""
+    return len(rows).to_bytes(8, "little") + pa.compress(rows.tobytes(), CODEC, asbytes=True)
+
+
+def _unpack(packed: bytes) -> bytes:
+    return pa.decompress(memoryview(packed)[8:], int.from_bytes(packed[:8], "little") * RECORD.itemsize, CODEC, asbytes=True)
+
+
+def single_windows(rows: np.ndarray, least: int = 0, most: int = SIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows cut into one for each window with `least` to `most` bytes before the anchor, without those that an earlier text among `rows` settles.
 
     Returns (the others, the hashes of their windows, and for each of `rows` the least
     and the most bytes before its anchor with which a window is settled; none: 99, -1).
@@ -311,7 +392,7 @@ def single_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     left, right = _sides(rows)
     low, high = np.full(len(rows), 99), np.full(len(rows), -1)
     each, keys = [], []
-    for before in range(SIDE + 1):
+    for before in range(least, most + 1):
         ok = np.flatnonzero((rows["left"] >= before) & (rows["right"] >= SIDE - before))
         key = _mixed(rows["mark"][ok], left[before][ok], right[SIDE - before][ok])
         later = _earlier(key, rows[ok], slice(SIDE - before, SIDE - before + WINDOW))
@@ -331,39 +412,22 @@ def _runs(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Table:
     return pa.table({"tid": rows["tid"][hit], "least": rows["least"][hit], "run": (start << 32) | end})
 
 
-def second_pass(texts: DataFrame, blocks: Blocks, bits: int) -> DataFrame:
+def second_pass(texts: DataFrame, blocks: Blocks, bits: int, hot: int = HOT) -> DataFrame:
     """Runs (tid, least, run = start << 32 | end) of repeated bytes, for the anchors that `blocks` keeps.
 
-    texts: tid, least (its row's id), raw. A hot anchor's windows are dealt out each
-    by its own hash, so that no part has to hold all texts with it, and of those that
-    a task has gathered only the ones of the least id move. Rows that a batch settles
+    texts: tid, least (its row's id), raw. A hot anchor's windows are dealt out by
+    their two halves' hashes, so that no part has to hold all texts with it. The
+    windows of a hot half are dealt out each by its own hash, and of those that a task
+    has gathered only the ones of the least id move. Rows that a batch settles
     by itself don't move. A value that survived by chance has no equal and gives no run.
     """
     kept = np.uint64(64 - bits - KEPT_BITS)
-    shared = texts.sparkSession.sparkContext.broadcast(blocks)
-
-    def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        tids, leasts = batch["tid"].to_numpy(), batch["least"].to_numpy()
-        for row, at, h, data, offsets in _anchors_of(batch["raw"]):
-            mark = h >> kept
-            near = shared.value.keeps(mark)
-            if not len(near):
-                continue
-            row, at, mark = row[near], at[near], mark[near]
-            out = np.zeros(len(near), RECORD)
-            out["mark"], out["tid"], out["least"], out["at"] = mark, tids[row], leasts[row], at - offsets[row]
-            out["left"] = np.minimum(SIDE, at - offsets[row])
-            out["right"] = np.minimum(SIDE, offsets[row + 1] - at - DIGIT)
-            out["high"] = SIDE
-            around = at[:, None] + np.arange(-SIDE, DIGIT + SIDE)
-            there = (around >= offsets[row][:, None]) & (around < offsets[row + 1][:, None])
-            out["bytes"] = np.where(there, data[np.clip(around, 0, len(data) - 1)], 0)
-            yield out, np.isin(mark, shared.value.hot)
+    shared, common_halves = (texts.sparkSession.sparkContext.broadcast(x) for x in (blocks, hot_halves(texts, blocks, bits, hot)))
 
     def packed(rows: np.ndarray, route: np.ndarray) -> pa.RecordBatch:
         order, parts, edges = _order(route)
         rows = rows[order]
-        blobs = [rows[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        blobs = [_pack(rows[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         none = pa.nulls(len(parts), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int32)), pa.array(blobs, pa.binary()), none, none, none], ["part", "rows", *_RUN.names])
 
@@ -375,11 +439,16 @@ def second_pass(texts: DataFrame, blocks: Blocks, bits: int) -> DataFrame:
         plain, wide = rows[~done & ~hot], rows[~done & hot]
         del rows
         yield packed(plain, plain["mark"] >> np.uint64(KEPT_BITS))
-        wide = wide[np.argsort(wide["mark"], kind="stable")]
-        for begin in range(0, len(wide), 1 << 13):
-            left_over, keys, low, high = single_windows(wide[begin : begin + (1 << 13)])
-            settled = pa.concat_tables([settled, _runs(wide[begin : begin + (1 << 13)], low, high)])
-            yield packed(left_over, keys >> np.uint64(64 - bits))
+        for half, keys, least, most in halves(wide):
+            single = np.isin(keys, common_halves.value)
+            yield packed(half[~single], keys[~single] >> np.uint64(64 - bits))
+            half = half[single]
+            half = half[np.argsort(half["mark"], kind="stable")]
+            for begin in range(0, len(half), 1 << 14):
+                some = half[begin : begin + (1 << 14)]
+                left_over, each, low, high = single_windows(some, least, most)
+                settled = pa.concat_tables([settled, _runs(some, low, high)])
+                yield packed(left_over, each >> np.uint64(64 - bits))
         if settled.num_rows:
             # settled runs ride along, spread over the parts
             spread = pa.array((np.arange(settled.num_rows) % (1 << bits)).astype(np.int32))
@@ -389,7 +458,7 @@ def second_pass(texts: DataFrame, blocks: Blocks, bits: int) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, n = [], 0
         for batch in batches:
-            for one in rows_of(batch):
+            for one in _near(batch, shared.value, kept):
                 found.append(one)
                 n += len(one[0])
                 if n >= GATHERED:
@@ -399,7 +468,7 @@ def second_pass(texts: DataFrame, blocks: Blocks, bits: int) -> DataFrame:
             yield from send(found)
 
     def match(group: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(x for x in group["rows"].to_pylist() if x is not None), RECORD)
+        rows = np.frombuffer(b"".join(_unpack(x) for x in group["rows"].to_pylist() if x is not None), RECORD)
         settled = group.select(_RUN.names).filter(group["run"].is_valid())
         return pa.concat_tables([settled.cast(_RUN), _runs(rows, *repeated(rows)).cast(_RUN)])
 
@@ -471,7 +540,7 @@ def repeated_runs(docs: DataFrame, hot: int = HOT, held: int = BLOOM_BYTES) -> t
     found = None
     for turn in turns:
         blocks = Blocks([tuple(r) for r in kept.where(F.col("part").between(turn[0], turn[-1])).toLocalIterator()], bits)
-        runs = second_pass(long, blocks, bits)
+        runs = second_pass(long, blocks, bits, hot)
         found = runs if found is None else found.unionByName(runs)
     if found is None:
         found = docs.sparkSession.createDataFrame([], "tid long, least long, run long")
