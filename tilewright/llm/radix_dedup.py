@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,9 @@ BLOOM_BITS, BLOOM_HASHES, BLOOM_BYTES = 10, 5, 256 << 20
 #: Numbers (8 bytes each) up to which runs go to their texts, and copies' ids to the first reading, by broadcast.
 BROADCAST_NUMBERS, BROADCAST_IDS = 8_000_000, 2_000_000
 
+#: Readings of the texts for as many broadcasts of runs; where it would take more, the texts move instead.
+RUN_TURNS = 16
+
 #: Bytes of text worked on at once, and anchors with their sides that a task gathers before it sends them.
 SLICE, GATHERED = 1 << 19, 1 << 17
 
@@ -512,8 +516,9 @@ def repeated_runs(docs: DataFrame, hot: int = HOT, held: int = BLOOM_BYTES) -> t
     n_bytes, and least, the smallest id with the same text. done: tid (quick), least,
     n_removed, n_spans and kept_sha256 of the texts in which bytes are repeated.
 
-    Texts are read three times and move in none of the first two; the third sends
-    the runs to their texts by broadcast, or joins if they are too many.
+    Texts are read three times, a fourth time where anchors are hot, and don't move:
+    the last reading sends the runs to them by broadcast, in turns of a reading each
+    if they are many. Beyond RUN_TURNS the texts move to their runs.
     """
     texts = common.doc_texts(docs).withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("tid", F.xxhash64("text")).withColumn("raw", F.col("text").cast("binary"))
     rows = texts.select("id", "doc_id", F.unhex(F.sha2("text", 256)).alias("sha"), F.col("tid").alias("quick"), F.octet_length("text").cast("long").alias("n_bytes"))
@@ -546,9 +551,20 @@ def repeated_runs(docs: DataFrame, hot: int = HOT, held: int = BLOOM_BYTES) -> t
         found = docs.sparkSession.createDataFrame([], "tid long, least long, run long")
     runs = common.saved(found.groupBy("tid", "least").agg(F.collect_list("run").alias("runs")).mapInArrow(_merge, "tid long, least long, runs array<long>"))
     n = runs.agg(F.coalesce(F.sum(F.size("runs") + 8), F.lit(0))).first()[0]
-    few = (F.broadcast(runs) if n <= BROADCAST_NUMBERS else runs).withColumnsRenamed({"tid": "__tid", "least": "__least"})
-    own = long.join(few, (F.col("tid") == F.col("__tid")) & (F.col("least") == F.col("__least"))).select("tid", "least", "raw", "runs")
-    done = own.mapInArrow(_cut, "tid long, least long, n_removed long, n_spans long, kept_sha256 string")
+    turns = max(1, -(-n // BROADCAST_NUMBERS))
+
+    def cut(some: DataFrame) -> DataFrame:
+        some = some.withColumnsRenamed({"tid": "__tid", "least": "__least"})
+        own = long.join(some, (F.col("tid") == F.col("__tid")) & (F.col("least") == F.col("__least"))).select("tid", "least", "raw", "runs")
+        return own.mapInArrow(_cut, "tid long, least long, n_removed long, n_spans long, kept_sha256 string")
+
+    if turns > RUN_TURNS:
+        done = cut(runs)
+    elif turns == 1:
+        done = cut(F.broadcast(runs))
+    else:  # one broadcast at a time
+        turn = F.pmod(F.xxhash64("tid", "least"), F.lit(turns))
+        done = reduce(DataFrame.unionByName, [common.saved(cut(F.broadcast(runs.where(turn == k)))) for k in range(turns)])
     return rows, done.dropDuplicates(["tid", "least"])
 
 
