@@ -69,6 +69,16 @@ def test_license_gate_as_sql_has_it(spark, tmp_path):
     assert sorted(map(tuple, own)) == sorted(con.execute(texts.ORACLE_SQL["license_gate"]).fetchall())
 
 
+@pytest.mark.parametrize("name", ["license_gate", "license_report"])
+def test_license_of_any_page_as_sql_has_it(spark, tmp_path, name):
+    pages = [(k, html) for k in (*range(-14, 15), -(2**62), 2**62, None) for html in ("", "x", "sa", None)]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    own = texts.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted(map(str, map(tuple, own))) == sorted(map(str, con.execute(texts.ORACLE_SQL[name]).fetchall()))
+
+
 def test_links(spark):
     html = """<p><a class="x" href="one.CR2">1</a> <a href="//cdn.site/two.rw2?v=3">2</a> <a href='three.nef'> <a href="/p/four.png"><a href="sub/five.dng"><a href="one.CR2"> <a href="six.X3F">"""
     found = one(spark, text.raw_links(F.col("c0"), F.lit("https://board.site/topic/77/")), html)

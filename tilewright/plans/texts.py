@@ -65,7 +65,9 @@ _TAGGED = f"(SELECT page_id, ({_TAGS!r}::VARCHAR[])[page_id % 6 + 1] || html AS
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.array(*[F.lit(t.replace("'", "")) for t in _TAGS])
-    return table(spark, sf_dir, "pages").select("page_id", F.concat(F.get(tags, (F.col("page_id") % 6).cast("int")), "html").alias("html"))
+    # as the SQL's lists have it: places from 1 on, from the end where they are negative, nothing at 0
+    place = (F.col("page_id") % 6 + 1).cast("int")
+    return table(spark, sf_dir, "pages").select("page_id", F.concat(F.when(place != 0, F.try_element_at(tags, place)), "html").alias("html"))
 
 
 @_l.add(f"SELECT license, count(*) AS n FROM ({_LICENSE.format(key='page_id', html='html', rows=_TAGGED)}) GROUP BY license")
