@@ -39,19 +39,17 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, file, first = tokens.encoder(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
+        encoder, file, first = tokens.encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
-                rows = [ids_of(text) + end for text in part["text"].to_pylist()]
-                n = np.array([len(row) // 4 for row in rows], np.int64)
-                before = first + np.cumsum(n) - n
-                first += int(n.sum())
-                offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-                values = pa.Array.from_buffers(pa.int32(), int(n.sum()), [None, pa.py_buffer(b"".join(rows))])
+                ids, edges = encoder.many(part["text"], end_id)
+                n, before = np.diff(edges), first + edges[:-1]
+                first += len(ids)
+                offsets = pa.array(edges, pa.int32())
+                values = pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(n), file), pa.int32()), part["doc_id"], pa.array(before), pa.array(n, pa.int32()), pa.ListArray.from_arrays(offsets, values)],
                     ["file", "doc_id", "first", "n_tokens", "ids"],

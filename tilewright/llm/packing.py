@@ -11,7 +11,6 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,12 +71,13 @@ def plan_slots(counts: dict[int, int], capacity: int) -> list[tuple[int, int, in
 def token_pieces(docs: DataFrame, capacity: int, tokenizer: str, end_id: int, remembered: int | None = None) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece; ids stay in the task."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = tokens.encoder(tokenizer, remembered), np.array([end_id], "<u4").tobytes()
+        encoder = tokens.encoder(tokenizer, remembered)
         for batch in batches:
             rows, pieces, starts, lengths, sums = [], [], [], [], []
-            for row, text in enumerate(batch["text"]):
-                raw = memoryview(ids_of(text.as_py()) + end)
-                n = len(raw) // 4
+            ids, ends = encoder.many(batch["text"], end_id)
+            every, ends = memoryview(ids).cast("B"), ends.tolist()
+            for row, (first, last) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                raw, n = every[4 * first : 4 * last], last - first
                 edges = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
                     rows.append(row)
@@ -125,8 +125,8 @@ def pack_documents(docs: DataFrame, capacity: int = 1024, tokenizer: str | None
 
     Texts are read and encoded once, without a shuffle; what moves is a narrow row
     per piece. The histogram and the plan depend on `capacity`, not on the data.
-    `remembered` bounds the words and the parts that a worker keeps ids of (some 200
-    bytes each); it costs time, never rows or ids.
+    `remembered` bounds the pieces of texts that a worker keeps ids of (some 100 bytes
+    each); it costs time, never rows or ids.
     """
     spark = docs.sparkSession
     pieces = common.saved(token_pieces(docs, capacity, tokenizer or tokens.default_path(), end_id, remembered))

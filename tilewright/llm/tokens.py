@@ -10,12 +10,14 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tilewright.llm import memory
+from tilewright.llm.pieces import Pieces
 
-#: Entries of each memory; once full, it takes no more (common words come early).
-MOST_PARTS, MOST_WORDS = 300_000, 600_000
+#: Pieces that `many` remembers, and entries of each memory of single calls; once full, they take no more (common words come early).
+MOST_PIECES, MOST_PARTS, MOST_WORDS = 1_000_000, 300_000, 600_000
 
 #: Longer parts are encoded each time.
 LONGEST = 64
@@ -40,6 +42,8 @@ class Encoder:
         if not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
             longest_first = sorted(self.added, key=lambda content: (-len(content), content))
             self.cut_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})")
+        self.most_pieces = MOST_PIECES if remembered is None else remembered
+        self.pieces: Pieces | None = None
         self.parts: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.ends: dict[str, bytes] = {"": b""}
@@ -54,6 +58,14 @@ class Encoder:
             return b"".join(self._plain(part) if k % 2 else self._joined(part.split(" "), part) for k, part in enumerate(cut) if part)
         return self._joined(text.split(" "), text)
 
+    def many(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all `texts` (none null), as calls with one text give them, each with `end_id` last, and the edges between texts."""
+        if self.pieces is None:
+            joinable = self.cut_added is not None and not any(" " in content for content in self.added)
+            self.pieces = Pieces(self.tokenizer, self, self.added, joinable, self.most_pieces)
+        ids, edges = self.pieces.many(texts)
+        return np.insert(ids, edges[1:], end_id), edges + np.arange(len(edges))
+
     def _joined(self, parts: list[str], text: str | None) -> bytes:
         """Ids of parts with a space between; `text` is given if they were cut at every space, whatever follows it."""
         known = list(map(self.parts.get, parts[1:]))
@@ -107,7 +119,7 @@ class Encoder:
 
 
 def encoder(path: str, remembered: int | None = None) -> Encoder:
-    """One encoder per worker process: its memory, of `remembered` entries each at most, outlives a task."""
+    """One encoder per worker process: its memories, of `remembered` entries each at most, outlive a task."""
     return memory.held(f"encoder {path} {remembered}", lambda: Encoder(path, remembered))
 
 
