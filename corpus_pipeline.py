@@ -14,8 +14,8 @@ from tilewright.llm import common, near_copies, packing, quality, secrets, tilin
 from tilewright.runtime import prepare
 
 
-#: Words and parts that a worker keeps token ids of while packing: earlier stages have left less room than operator 4 alone has.
-REMEMBERED = 60_000
+#: Pieces of texts that a worker keeps token ids of while packing: earlier stages have left less room than operator 4 alone has.
+REMEMBERED = 250_000
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

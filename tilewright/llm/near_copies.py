@@ -139,12 +139,12 @@ def _compared(docs: DataFrame, placed: DataFrame) -> DataFrame:
 def _similar_links(docs: DataFrame, distinct: DataFrame, block: int) -> DataFrame:
     """Links (u, v) of `distinct` (id, t1, t2, bands), whose texts stand in `docs`, by their shingles."""
     met = distinct.select("id", F.explode("bands").alias("band"))
-    shared = common.saved(met.groupBy("band").agg(F.min("id").alias("v"), F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("__band"), "v", "n"))
+    shared = common.saved_small(met.groupBy("band").agg(F.min("id").alias("v"), F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("__band"), "v", "n"))
     stars = met.join(shared, met["band"] == shared["__band"]).select(F.col("id").alias("u"), "v").distinct()
-    group = common.saved(components.components(stars))
+    group = common.saved_small(components.components(stars))
     parts = group.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     member = distinct.select("id", F.col("t1").alias("__m1"), F.col("t2").alias("__m2")).join(group, "id").join(parts, "component")
-    member = common.saved(member.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
+    member = common.saved_small(member.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
 
     # hubs: of each group's first members by band, those of the fullest bands
     hubs = shared.join(member.where("parts > 1"), F.col("v") == F.col("id")).groupBy("component", F.pmod(F.xxhash64("v"), F.lit(HUBS))).agg(F.max_by("v", "n").alias("__hub"))
@@ -152,24 +152,24 @@ def _similar_links(docs: DataFrame, distinct: DataFrame, block: int) -> DataFram
     everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
     columns = ["id", "component", "part", "root", "apart", "__m1", "__m2"]
     placed = placed.withColumn("part", F.explode(F.when(F.col("__hub").isNull(), F.array("part")).otherwise(everywhere)))
-    placed = common.saved(placed.withColumns({"root": F.col("id"), "apart": F.lit(True)}).select(columns))
-    near = common.saved(_compared(docs, placed))
+    placed = common.saved_small(placed.withColumns({"root": F.col("id"), "apart": F.lit(True)}).select(columns))
+    near = common.saved_small(_compared(docs, placed))
 
     # members of large groups that share a band with one they aren't linked to yet
     large = member.where("parts > 1")
     known = components.components(near).select(F.col("id").alias("__id"), F.col("component").alias("__root"))
-    large = common.saved(large.join(known, F.col("id") == F.col("__id"), "left").withColumn("root", F.coalesce("__root", "id")).drop("__id", "__root"))
+    large = common.saved_small(large.join(known, F.col("id") == F.col("__id"), "left").withColumn("root", F.coalesce("__root", "id")).drop("__id", "__root"))
     met = met.join(large.select(F.col("id").alias("__id"), "root"), F.col("id") == F.col("__id"))
     mixed = met.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select(F.col("band").alias("__band"))
     open_ids = met.join(mixed, met["band"] == mixed["__band"]).select("__id").distinct()
-    open_rows = common.saved(large.join(open_ids, F.col("id") == F.col("__id"), "left_semi"))
+    open_rows = common.saved_small(large.join(open_ids, F.col("id") == F.col("__id"), "left_semi"))
     if open_rows.isEmpty():
         return near
     most = open_rows.groupBy("component", "root").count().groupBy("component").agg(F.max_by("root", F.struct("count", "root")).alias("__most"))
     most = most.withColumnRenamed("component", "__component")
     placed = open_rows.join(most, F.col("component") == F.col("__component")).withColumn("apart", F.col("root") != F.col("__most"))
     placed = placed.withColumn("part", F.explode(F.when(F.col("apart"), everywhere).otherwise(F.array("part")))).select(columns)
-    return near.unionByName(_compared(docs, common.saved(placed)))
+    return near.unionByName(_compared(docs, common.saved_small(placed)))
 
 
 def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -191,21 +191,21 @@ def keep_first(docs: DataFrame, block: int = BLOCK) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["__t1"], batch["__t2"], pa.array(bits), own], ["doc_id", "t1", "t2", "bits", "bands"])
 
     rows = _keys(common.doc_texts(docs)).mapInArrow(signed, "doc_id long, t1 long, t2 long, bits long, bands array<long>")
-    rows = common.saved(rows)
+    rows = common.saved_small(rows)
     distinct = rows.groupBy("t1", "t2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
-    distinct = common.saved(distinct.withColumn("id", F.monotonically_increasing_id()))
-    first = common.saved(distinct.groupBy("bits").agg(F.min("id").alias("first")))
-    balls = common.saved(simhash.links(first.select("bits"), first.count()))
+    distinct = common.saved_small(distinct.withColumn("id", F.monotonically_increasing_id()))
+    first = common.saved_small(distinct.groupBy("bits").agg(F.min("id").alias("first")))
+    balls = common.saved_small(simhash.links(first.select("bits"), first.count()))
     ends = [first.select(F.col("bits").alias(f"__{x}"), F.col("first").alias(x)) for x in ("x", "y")]
     balls = balls.join(ends[0], F.col("u") == F.col("__x")).join(ends[1], F.col("v") == F.col("__y")).select(F.col("x").alias("u"), F.col("y").alias("v"))
     equal = distinct.join(first, "bits").where(F.col("id") != F.col("first")).select(F.col("id").alias("u"), F.col("first").alias("v"))
-    links = common.saved(_similar_links(docs, distinct, block).unionByName(balls).unionByName(equal))
-    found = common.saved(components.components(links))
-    owner = common.saved(distinct.select("id", "t1", "t2", "least", "n").join(found, "id", "left").select("t1", "t2", "least", "n", F.coalesce("component", "id").alias("root")))
-    best = common.saved(owner.groupBy("root").agg(F.min("least").alias("stays"), F.count("*").alias("__n")))
+    links = common.saved_small(_similar_links(docs, distinct, block).unionByName(balls).unionByName(equal))
+    found = common.saved_small(components.components(links))
+    owner = common.saved_small(distinct.select("id", "t1", "t2", "least", "n").join(found, "id", "left").select("t1", "t2", "least", "n", F.coalesce("component", "id").alias("root")))
+    best = common.saved_small(owner.groupBy("root").agg(F.min("least").alias("stays"), F.count("*").alias("__n")))
     named = sieve.joined(owner.select("root", "t1", "t2", F.col("n").alias("__copies")), best, "root", owner.count())
-    named = common.saved(named.select("t1", "t2", "stays", F.col("__copies").alias("__n")))
+    named = common.saved_small(named.select("t1", "t2", "stays", F.col("__copies").alias("__n")))
     gone = sieve.joined(rows.select("doc_id", "t1", "t2"), named, ["t1", "t2"], rows.count()).where(F.col("doc_id") != F.col("stays"))
-    gone = common.saved(gone.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__g1"), F.col("t2").alias("__g2")).distinct())
+    gone = common.saved_small(gone.select(F.col("doc_id").alias("__id"), F.col("t1").alias("__g1"), F.col("t2").alias("__g2")).distinct())
     keyed = _keys(docs)
     return sieve.without(keyed, gone, F.col("doc_id").cast("long"), F.col("__t1"), F.col("__t2")).drop("__t1", "__t2")
